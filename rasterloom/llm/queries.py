@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from rasterloom.llm import simhash
+from rasterloom.llm import naming, simhash
 
 
 def queries() -> dict:
-    return {"op4_simhash_bktree": simhash.op4_simhash_bktree}
+    return {"op4_simhash_bktree": simhash.op4_simhash_bktree, "op10_block_naming": naming.op10_block_naming}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_block_naming": naming.OP10_SQL}
