@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from rasterloom.llm import naming, simhash
+from rasterloom.llm import naming, repair, simhash
 
 
 def queries() -> dict:
-    return {"op4_simhash_bktree": simhash.op4_simhash_bktree, "op10_block_naming": naming.op10_block_naming}
+    return {
+        "op1_repair_tokens": repair.op1_repair_tokens,
+        "op4_simhash_bktree": simhash.op4_simhash_bktree,
+        "op10_block_naming": naming.op10_block_naming,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
