@@ -26,7 +26,7 @@ from rasterloom.llm.tokens import encoder, vocabulary
 
 END_ID = 2
 SHARD_TOKENS = 1 << 20
-ROUNDS, RULES, LEAST, DENSE = 8, 15_000, 12, 1024
+ROUNDS, RULES, LEAST, DENSE = 6, 15_000, 12, 1024
 HEAD = "<4sIIIIQ"
 
 

@@ -1,107 +1,152 @@
 """Exact tokenizer output at corpus speed.
 
-Both vocabularies split a text at white space before any merge, so equal words get
-equal ids wherever they stand. Each worker keeps the ids of the words that it has met,
-as the tokenizers library gave them, and sends only new words to the library. Texts
-whose white space the splitter below doesn't cover go to the library whole.
+Both vocabularies split a text at white space, and between letters and marks, before
+any merge, so equal words get equal ids wherever they stand. Each worker keeps the ids
+of the words that it has met, as the tokenizers library gave them, and sends only new
+words to the library. Texts whose white space the splitter below doesn't cover go to
+the library whole.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from itertools import repeat
 
 import numpy as np
 
+from rasterloom.llm.interning import Interner
+
 #: Words kept by a worker; beyond that it starts anew.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 1_500_000
 #: Bytes of text that are split at a time.
 SLICE = 1 << 20
-WIDE_SPACE = re.compile(rb"[\t\r\x0b\x0c\x01\x1c-\x1f]|  | \n|\n |\n\n\n|\n\n\Z|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+#: White space whose splitting depends on more than the next character.
+WIDE_SPACE = re.compile(rb"[\t\r\x0b\x0c\x1c-\x1f]|  | \n|\n |\n\n\n|\n\n\Z|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+#: Any of these must be there for ``WIDE_SPACE`` to match.
+WIDE_BYTES = [b"\t", b"\r", b"\x0b", b"\x0c", b"\x1c", b"\x1d", b"\x1e", b"\x1f", b"  ", b" \n", b"\n ", b"\n\n", b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe1\xa0\x8e", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80"]
+#: Words of Latin letters alone, which both splitters leave whole and no normalisation but lower case changes.
+LETTERS = re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|\xc5[\x80-\xbf])+")
+#: What both vocabularies show for each byte: printable Latin-1 as it is, the others from U+0100 on in order.
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_OTHERS = [b for b in range(256) if b not in _PRINTED]
+SHOWN = {b: chr(0x100 + _OTHERS.index(b)) for b in _OTHERS}
+#: Classes of bytes: ASCII letters 1, marks that may follow one 2, ASCII white space 4.
+CLASS = np.zeros(256, np.uint8)
+CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+CLASS[list(b",.!?*%$#&;:")] = 2
+CLASS[list(b" \t\n\r\x0b\x0c")] = 4
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
-def _gpt2_pieces(text: bytes) -> list[bytes] | None:
-    """Words with one space before them, or with byte 1 where there is none, and line feeds; None where white space is of another kind."""
-    if WIDE_SPACE.search(text):
-        return None
-    return (b"\x01" + text.replace(b"\n", b" \n \x01")).split(b" ")
-
-
-def _gpt2_text(piece: bytes) -> str:
-    return (piece if piece == b"\n" else piece[1:] if piece[:1] == b"\x01" else b" " + piece).decode()
-
-
-#: How a text is cut for each kind of vocabulary, and what is encoded for a piece.
-KINDS = {"byte_level": (_gpt2_pieces, _gpt2_text), "words": (bytes.split, bytes.decode)}
-
-
 class Encoder:
-    """Ids by the tokenizers library, ``add_special_tokens=False``; strings of special tokens are ordinary text."""
+    """Ids by the tokenizers library, ``add_special_tokens=False``; strings of special tokens are ordinary text.
+
+    ``byte_level``: words keep the space before them, line feeds stand alone.
+    ``words``: white space is dropped and case ignored, so neither matters.
+    """
 
     def __init__(self, vocabulary: str, kind: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Regex, Tokenizer, normalizers, pre_tokenizers
 
-        self.tok = Tokenizer.from_str(vocabulary)
+        self.tok, self.letters = Tokenizer.from_str(vocabulary), Tokenizer.from_str(vocabulary)
         self.tok.encode_special_tokens = True
-        self.cut, self.shown = KINDS[kind]
+        # The same merges over words that are split already; "!" stands between them, which no word of letters holds.
+        self.lower = {"byte_level": False, "words": True}[kind]
+        self.letters.pre_tokenizer = pre_tokenizers.Split(Regex("!"), "isolated")
+        if self.lower:
+            self.letters.normalizer = normalizers.Sequence([])
+        self.mark = self.letters.encode("!", add_special_tokens=False).ids[0]
+        self.words = Interner()
         self.reset()
 
     def reset(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.starts, self.lens, self.flat, self.used = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.uint32), 0
+        self.words.reset()
+        self.count, self.used = 0, 0
+        self.starts, self.lens, self.flat = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.uint32)
 
     def whole(self, text: bytes) -> np.ndarray:
         return np.array(self.tok.encode(text.decode(), add_special_tokens=False).ids, np.uint32)
 
-    def learn(self, pieces: list[bytes]) -> None:
-        got = [e.ids for e in self.tok.encode_batch_fast([self.shown(p) for p in pieces], add_special_tokens=False)]
-        n, lens = len(self.index), np.fromiter(map(len, got), np.int64, len(got))
+    def learn(self, words: list[bytes]) -> None:
+        """Encode new words: those of letters in one text, others one by one."""
+        ids: list[np.ndarray] = [None] * len(words)
+        plain = [LETTERS.fullmatch(w) is not None for w in words]
+        odd = [i for i, ok in enumerate(plain) if not ok]
+        if odd:
+            for i, e in zip(odd, self.tok.encode_batch_fast([words[i].decode() for i in odd], add_special_tokens=False)):
+                ids[i] = np.array(e.ids, np.uint32)
+        even = [i for i, ok in enumerate(plain) if ok]
+        if even:
+            text = b"!".join(words[i].strip() if self.lower else words[i] for i in even) + b"!"
+            text = (text.decode().lower().encode() if self.lower else text).decode("latin-1").translate(SHOWN)
+            got = np.array(self.letters.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            begin = 0
+            for i, end in zip(even, np.nonzero(got == self.mark)[0].tolist()):
+                ids[i] = got[begin:end]
+                begin = end + 1
+        n, size, lens = self.count, self.count + len(words), np.fromiter(map(len, ids), np.int64, len(ids))
         total = int(lens.sum())
-        while n + len(got) > len(self.starts):
+        while size > len(self.starts):
             self.starts, self.lens = np.concatenate([self.starts, self.starts]), np.concatenate([self.lens, self.lens])
         while self.used + total > len(self.flat):
             self.flat = np.concatenate([self.flat, self.flat])
-        self.flat[self.used : self.used + total] = np.fromiter((x for ids in got for x in ids), np.uint32, total)
-        self.starts[n : n + len(got)], self.lens[n : n + len(got)] = self.used + np.cumsum(lens) - lens, lens
-        self.used += total
-        self.index.update(zip(pieces, range(n, n + len(got))))
+        self.flat[self.used : self.used + total] = np.concatenate(ids)
+        self.starts[n:size], self.lens[n:size] = self.used + np.cumsum(lens) - lens, lens
+        self.count, self.used = size, self.used + total
 
     def slice(self, texts: list[bytes]) -> list[np.ndarray]:
-        if len(self.index) > KEPT_WORDS:
+        """The ids of texts that are not empty and have no wide white space."""
+        if self.count > KEPT_WORDS:
             self.reset()
-        cut = [self.cut(t) for t in texts]
-        pieces = [p for c in cut if c for p in c]
-        at = np.fromiter(map(self.index.get, pieces, repeat(-1)), np.int64, len(pieces))
-        missing = np.nonzero(at < 0)[0].tolist()
-        if missing:
-            self.learn(list(dict.fromkeys(pieces[i] for i in missing)))
-            at[missing] = [self.index[pieces[i]] for i in missing]
+        raw = b"".join(texts)
+        if self.lower and b"\xcc" not in raw and b"\xcd" not in raw:
+            raw = raw.translate(_LOWER)
+        data, sizes = np.frombuffer(raw, np.uint8), np.fromiter(map(len, texts), np.int64, len(texts))
+        kind = CLASS[data]
+        begins = kind == 4
+        begins[1:] |= (data[:-1] == 10) | ((kind[:-1] == 1) & (kind[1:] == 2))
+        text_ends = np.cumsum(sizes)
+        begins[text_ends - sizes] = True
+        starts = np.nonzero(begins)[0]
+        at = self.words.numbers(raw, starts, self.learn)
+        clash = np.nonzero(at < 0)[0]
+        if len(clash):
+            # Words that share a hash with others: without numbers of their own, their texts go to the library whole.
+            hit = set(np.searchsorted(text_ends, starts[clash], "right").tolist())
+            keep = [i for i in range(len(texts)) if i not in hit]
+            rest = iter(self.slice([texts[i] for i in keep]) if keep else [])
+            return [self.whole(t) if i in hit else next(rest) for i, t in enumerate(texts)]
         lens = self.lens[at]
         ends = np.cumsum(lens)
-        ids = self.flat[np.repeat(self.starts[at] - (ends - lens), lens) + np.arange(ends[-1] if len(ends) else 0)]
-        out, i, begin = [], 0, 0
-        for t, c in zip(texts, cut):
-            if c is None:
-                out.append(self.whole(t))
-            else:
-                i += len(c)
-                end = int(ends[i - 1]) if i else 0
-                out.append(ids[begin:end])
-                begin = end
-        return out
+        ids = self.flat[np.repeat(self.starts[at] - (ends - lens), lens) + np.arange(ends[-1])]
+        cuts = ends[np.searchsorted(starts, text_ends) - 1]
+        return np.split(ids, cuts[:-1])
 
     def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
         """The ids of each text; null counts as empty."""
-        out, todo, size = [], [], 0
-        for t in texts:
-            todo.append(t or b"")
-            size += len(todo[-1])
-            if size > SLICE:
-                out += self.slice(todo)
-                todo, size = [], 0
-        return out + (self.slice(todo) if todo else [])
+        out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
+        todo, size = [], 0
+
+        def run() -> None:
+            if not self.lower and any(w in every for every in [b"a".join(texts[i] for i in todo)] for w in WIDE_BYTES):
+                for i in [i for i in todo if WIDE_SPACE.search(texts[i])]:
+                    out[i] = self.whole(texts[i])
+                    todo.remove(i)
+            if todo:
+                for i, ids in zip(todo, self.slice([texts[i] for i in todo])):
+                    out[i] = ids
+
+        for i, t in enumerate(texts):
+            if t:
+                todo.append(i)
+                size += len(t)
+                if size > SLICE:
+                    run()
+                    todo, size = [], 0
+        if todo:
+            run()
+        return out
 
 
 def encoder(vocabulary: str, kind: str) -> Encoder:

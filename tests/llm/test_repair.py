@@ -21,13 +21,23 @@ def tok(name):
 @pytest.mark.parametrize(("name", "kind"), VOCABS)
 def test_encoder_gives_what_the_library_gives(name, kind):
     rng = random.Random(6)
-    bits = ["a", "Word", "'s", "don't", " ", "  ", "\n", "\n\n", "\n\n\n", "\t", "\r\n", " ", " ", "　", "\x85", "\x1c", "\x01", "Été", "é", "́", "日本語", "123", "4.5", "!!", "***", "<|endoftext|>", "𝄞", "ΣΑΣ", "İ"]
+    bits = ["a", "Word", "'s", "don't", "naïve", "œŁ", "J̌", "ÀÉ", " ", "  ", "\n", "\n\n", "\n\n\n", "\t", "\r\n", " ", " ", "　", "\x85", "\x1c", "\x01", "Été", "é", "́", "日本語", "123", "4.5", "!!", "***", "<|endoftext|>", "𝄞", "ΣΑΣ", "İ"]
     texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(25))) for _ in range(3000)] + ["word " * 40000, "x" * 30000]
     enc, t = K.Encoder(K.vocabulary(name), kind), tok(name)
     for text, ids in zip(texts, enc.encode([x.encode() for x in texts])):
         assert ids.tolist() == t.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_words_that_share_a_hash(monkeypatch):
+    from rasterloom.llm import interning
+
+    plain = interning.Interner._hash
+    monkeypatch.setattr(interning.Interner, "_hash", lambda self, *a: plain(self, *a) % np.uint64(7) + np.uint64(1))
+    enc, t = K.Encoder(K.vocabulary("byte_bpe_50k.json"), "byte_level"), tok("byte_bpe_50k.json")
+    texts = [f"some words {i} and {'ab' * i}" for i in range(30)]
+    assert [x.tolist() for x in enc.encode([x.encode() for x in texts])] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
 def test_encoder_starts_anew_when_full(monkeypatch):
     monkeypatch.setattr(K, "KEPT_WORDS", 5)
     monkeypatch.setattr(K, "SLICE", 20)
