@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from rasterloom.llm import langid, naming, packing, quality, repair, simhash
+from rasterloom.llm import langid, naming, packing, quality, repair, simhash, toxicity
 
 
 def queries() -> dict:
     return {
         "op1_repair_tokens": repair.op1_repair_tokens,
         "op4_simhash_bktree": simhash.op4_simhash_bktree,
+        "op6_zstd_toxicity": toxicity.op6_zstd_toxicity,
         "op7_language_bitmask": langid.op7_language_bitmask,
         "op8_vector_packing": packing.op8_vector_packing,
         "op9_subword_quality": quality.op9_subword_quality,
