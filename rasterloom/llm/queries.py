@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from rasterloom.llm import decontaminate, langid, naming, packing, quality, repair, simhash, toxicity
+from rasterloom.llm import decontaminate, hmm, langid, naming, packing, quality, repair, simhash, toxicity
 
 
 def queries() -> dict:
     return {
         "op1_repair_tokens": repair.op1_repair_tokens,
+        "op2_hidden_markov_lm": hmm.op2_hidden_markov_lm,
         "op3_template_decontamination": decontaminate.op3_template_decontamination,
         "op4_simhash_bktree": simhash.op4_simhash_bktree,
         "op6_zstd_toxicity": toxicity.op6_zstd_toxicity,
