@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rasterloom.llm import decontaminate, hmm, langid, naming, packing, quality, repair, simhash, toxicity
+from rasterloom.llm import decontaminate, hmm, langid, naming, packing, pii, quality, repair, simhash, toxicity
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op2_hidden_markov_lm": hmm.op2_hidden_markov_lm,
         "op3_template_decontamination": decontaminate.op3_template_decontamination,
         "op4_simhash_bktree": simhash.op4_simhash_bktree,
+        "op5_boosted_pii": pii.op5_boosted_pii,
         "op6_zstd_toxicity": toxicity.op6_zstd_toxicity,
         "op7_language_bitmask": langid.op7_language_bitmask,
         "op8_vector_packing": packing.op8_vector_packing,
