@@ -86,3 +86,27 @@ def test_connected_components(spark):
     es = set(edges) | {(b, a) for a, b in edges}
     assert got == closure(sorted(nodes), lambda a, b: (a, b) in es)
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_stage_keeps_one_of_each_group(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(4000)]
+    text = lambda: [rng.choice(words) for _ in range(300)]
+    rows, want = [], set()
+    for g in range(40):
+        base, ids = text(), []
+        for k in range(1 + g % 4):
+            w = list(base)
+            for _ in range(5 if k else 0):
+                w[rng.randrange(len(w))] = rng.choice(words)
+            ids.append(rng.randrange(10**6) * 50 + g)
+            rows.append((ids[-1], " ".join(w), g))
+        want.add(min(ids))
+    rows += [(None, None, -1), (7, "", -1), (9, "lone words", -1), (None, "other lone words here", -1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, fp int").coalesce(3)
+    got = S.drop_near(df)
+    assert got.columns == df.columns
+    ids = [r.doc_id for r in got.collect()]
+    # Five words of 300 replaced: similarity about 0.85.
+    assert sorted(x for x in ids if x is not None) == sorted(want | {7, 9}) and ids.count(None) == 1
+    assert S.drop_near(df.limit(0)).count() == 0
