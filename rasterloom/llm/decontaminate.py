@@ -248,15 +248,17 @@ def leaked(text: Column, bench: DataFrame) -> Column:
     """Whether a text holds any item."""
     spark = bench.sparkSession
     ship_package(spark)
-    out = F.lit(False)
-    for index in indexes(bench):
-        shared = spark.sparkContext.broadcast(index)
 
+    def holds(shared) -> Column:
         @F.arrow_udf("boolean")
-        def holds(texts: pa.Array, shared=shared) -> pa.Array:
+        def any_item(texts: pa.Array) -> pa.Array:
             return pa.array([bool(m) for m in shared.value.scan(texts.cast(pa.binary()).to_pylist())], pa.bool_())
 
-        out = out | holds(F.coalesce(text, F.lit("")))
+        return any_item(F.coalesce(text, F.lit("")))
+
+    out = F.lit(False)
+    for index in indexes(bench):
+        out = out | holds(spark.sparkContext.broadcast(index))
     return out
 
 
