@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rasterloom.session import materialize, remove, ship_package, work_dir
 
-__all__ = ["bucket", "documents", "materialize", "remove", "ship_package", "text_of", "words_of", "work_dir"]
+__all__ = ["bucket", "documents", "materialize", "packed_words", "remove", "ship_package", "text_of", "words_of", "work_dir"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,3 +29,19 @@ def bucket(doc_id: Column, modulus: int) -> Column:
 def words_of(text: str | None) -> list[bytes]:
     """ASCII-lower-cased words of a text, split at ``[\\x20\\x09-\\x0D]``, as UTF-8."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+
+
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+
+
+def packed_words(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """All words of some texts packed together; where each begins; how many each text has."""
+    b = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+    inside = ~_SPACE[b]
+    edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
+    begin, end = np.nonzero(edge == 1)[0], np.nonzero(edge == -1)[0]
+    size = end - begin
+    text_ends = np.cumsum([len(t) + 1 for t in texts])
+    counts = np.bincount(np.searchsorted(text_ends, begin, "right"), minlength=len(texts)) if len(begin) else np.zeros(len(texts), np.int64)
+    return b[inside].tobytes(), np.cumsum(size) - size, counts

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rasterloom.llm.common import bucket, documents, materialize, remove, ship_package, text_of, work_dir
+from rasterloom.llm.common import bucket, documents, materialize, packed_words, remove, ship_package, text_of, work_dir
 from rasterloom.llm.interning import Interner
 
 STATES, SINGLES, CLASSES, TABLE = 8, 16_384, 2048, 200_000
@@ -35,21 +35,11 @@ SEED_DOCS, SEED_ROUNDS, ROUNDS = 800, 25, 2
 KEPT_WORDS = 1_000_000
 SLICE = 1 << 20
 END = SINGLES + CLASSES
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
 def segments_of(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
     """All words of some texts, lower-cased and packed together; where each begins; how many each text has."""
-    raw = b"\n".join(texts).lower() + b"\n"
-    b = np.frombuffer(raw, np.uint8)
-    inside = ~_SPACE[b]
-    edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
-    begin, end = np.nonzero(edge == 1)[0], np.nonzero(edge == -1)[0]
-    size = end - begin
-    text_ends = np.cumsum([len(t) + 1 for t in texts])
-    counts = np.bincount(np.searchsorted(text_ends, begin, "right"), minlength=len(texts)) if len(begin) else np.zeros(len(texts), np.int64)
-    return b[inside].tobytes(), np.cumsum(size) - size, counts
+    return packed_words([t.lower() for t in texts])
 
 
 def shape(word: bytes) -> int:

@@ -22,6 +22,8 @@ from rasterloom.llm.common import documents, ship_package, text_of
 from rasterloom.llm.tokens import encoder, vocabulary
 
 END_ID, MAX_TOKENS, MAX_SEGMENTS, POOL = 1, 2048, 256, 512
+#: Words whose ids a worker keeps: fewer than by default, as this runs in workers that have done other stages.
+KEPT_WORDS = 400_000
 
 
 @dataclass
@@ -144,7 +146,7 @@ def pack_documents(df: DataFrame, vocab: str, kind: str = "words", end_id: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        enc, packer, number, rows = encoder(shared.value, kind), Packer(max_tokens, max_segments), TaskContext.get().partitionId() << 40, []
+        enc, packer, number, rows = encoder(shared.value, kind, KEPT_WORDS), Packer(max_tokens, max_segments), TaskContext.get().partitionId() << 40, []
 
         def note(sequence: list[tuple]) -> None:
             nonlocal number

@@ -4,23 +4,24 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
-from itertools import repeat
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rasterloom.llm.common import bucket, documents, ship_package, text_of
+from rasterloom.llm.common import bucket, documents, packed_words, ship_package, text_of
+from rasterloom.llm.interning import Interner
 
 BUCKETS, DIM, EPOCHS, RATE = 1 << 15, 16, 12, 0.4
 #: The classifier is fitted on this many labelled documents at most, chosen by a hash of their id.
 SAMPLE_DOCS = 4000
 GRAMS = (3, 4)
 #: Words whose features a worker keeps; beyond that it starts anew.
-KEPT_WORDS = 300_000
-PART_WORDS = 1 << 16
+KEPT_WORDS = 400_000
+#: Bytes of text that are scored at a time.
+SLICE = 1 << 20
 THRESHOLD = 0.3
 REPEAT = b"\x00again"
 
@@ -50,38 +51,69 @@ class Model:
     vectors: np.ndarray
     out: np.ndarray
     bias: np.ndarray
-    gain: np.ndarray = field(init=False)
 
     def __post_init__(self) -> None:
         # The output is linear in the average, so each bucket adds a fixed number to the margin of class 1.
         self.gain = self.vectors @ (self.out[:, 1] - self.out[:, 0])
-        self.index, self.sums, self.sizes = {}, np.zeros(1024), np.zeros(1024)
+        f = word_features(REPEAT)
+        self.again = (float(self.gain[f].sum()), float(len(f)))
+        self.forget()
 
-    def learn_words(self, words: list[bytes]) -> None:
-        n = len(self.index)
-        while n + len(words) > len(self.sums):
+    def __getstate__(self) -> dict:
+        return {"vectors": self.vectors, "out": self.out, "bias": self.bias}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.__post_init__()
+
+    def forget(self) -> None:
+        self.words, self.sums, self.sizes = Interner(), np.zeros(1024), np.zeros(1024)
+
+    def learn(self, words: list[bytes]) -> None:
+        n = self.words.size - len(words)
+        while self.words.size > len(self.sums):
             self.sums, self.sizes = np.concatenate([self.sums, self.sums]), np.concatenate([self.sizes, self.sizes])
         for k, w in enumerate(words, n):
             f = word_features(w)
             self.sums[k], self.sizes[k] = self.gain[f].sum(), len(f)
-            self.index[w] = k
+
+    def plain(self, text: bytes) -> tuple[float, float]:
+        f = [self.gain[x] for w in tokens(text.decode()) for x in word_features(w)]
+        return float(sum(f)), float(len(f))
+
+    def scores(self, texts: list[bytes]) -> np.ndarray:
+        """The softmax output for class 1 of each text; one without words has that of the bias."""
+        out = np.empty(len(texts))
+        at, held, size = 0, [], 0
+        for k, t in enumerate(texts):
+            held.append(t)
+            size += len(t)
+            if size > SLICE or k == len(texts) - 1:
+                out[at : k + 1] = self._slice(held)
+                at, held, size = k + 1, [], 0
+        return out
+
+    def _slice(self, texts: list[bytes]) -> np.ndarray:
+        if self.words.size > KEPT_WORDS:
+            self.forget()
+        packed, starts, counts = packed_words(texts)
+        total, size = np.zeros(len(texts)), np.zeros(len(texts))
+        if len(starts):
+            text = np.repeat(np.arange(len(texts)), counts)
+            at = self.words.numbers(packed, starts, self.learn)
+            safe = np.maximum(at, 0)
+            total = np.bincount(text, self.sums[safe], len(texts))
+            size = np.bincount(text, self.sizes[safe], len(texts))
+            twice = text[1:][(at[1:] == at[:-1]) & (text[1:] == text[:-1])]
+            n = np.bincount(twice, minlength=len(texts))
+            total, size = total + n * self.again[0], size + n * self.again[1]
+            for k in np.unique(text[at < 0]).tolist():  # a word that shares its hash with another one
+                total[k], size[k] = self.plain(texts[k])
+        margin = np.divide(total, size, out=np.zeros(len(texts)), where=size > 0) + self.bias[1] - self.bias[0]
+        return 1 / (1 + np.exp(-np.clip(margin, -50, 50)))
 
     def score(self, text: str | None) -> float:
-        """The softmax output for class 1; a text without words has that of the bias."""
-        words, total, size = tokens(text), 0.0, 0.0
-        for at in range(0, len(words), PART_WORDS):
-            part = words[at : at + PART_WORDS]
-            if len(self.index) > KEPT_WORDS:
-                self.index = {}
-            k = np.fromiter(map(self.index.get, part, repeat(-1)), np.int64, len(part))
-            new = np.nonzero(k < 0)[0].tolist()
-            if new:
-                self.learn_words(list(dict.fromkeys(part[i] for i in new)))
-                k[new] = [self.index[part[i]] for i in new]
-            total += self.sums[k].sum()
-            size += self.sizes[k].sum()
-        margin = (total / size if size else 0.0) + self.bias[1] - self.bias[0]
-        return float(1 / (1 + np.exp(-np.clip(margin, -50, 50))))
+        return float(self.scores([(text or "").encode("utf-8", "replace")])[0])
 
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> Model:
@@ -156,7 +188,7 @@ def score_column(model: Model, text: Column) -> Column:
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        return pa.array([shared.value.score(t.as_py()) for t in texts], pa.float64())
+        return pa.array(shared.value.scores(texts.cast(pa.binary()).to_pylist()), pa.float64())
 
     return score(F.coalesce(text, F.lit("")))
 

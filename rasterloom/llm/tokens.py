@@ -16,7 +16,7 @@ import numpy as np
 
 from rasterloom.llm.interning import Interner
 
-#: Words kept by a worker; beyond that it starts anew.
+#: Words kept by a worker unless told otherwise; beyond that it starts anew.
 KEPT_WORDS = 1_500_000
 #: Bytes of text that are split at a time.
 SLICE = 1 << 20
@@ -46,7 +46,7 @@ class Encoder:
     ``words``: white space is dropped and case ignored, so neither matters.
     """
 
-    def __init__(self, vocabulary: str, kind: str) -> None:
+    def __init__(self, vocabulary: str, kind: str, kept: int | None = None) -> None:
         from tokenizers import Regex, Tokenizer, normalizers, pre_tokenizers
 
         self.tok, self.letters = Tokenizer.from_str(vocabulary), Tokenizer.from_str(vocabulary)
@@ -57,7 +57,7 @@ class Encoder:
         if self.lower:
             self.letters.normalizer = normalizers.Sequence([])
         self.mark = self.letters.encode("!", add_special_tokens=False).ids[0]
-        self.words = Interner()
+        self.words, self.kept = Interner(), kept or KEPT_WORDS
         self.reset()
 
     def reset(self) -> None:
@@ -97,7 +97,7 @@ class Encoder:
 
     def slice(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of texts that are not empty and have no wide white space."""
-        if self.count > KEPT_WORDS:
+        if self.count > self.kept:
             self.reset()
         raw = b"".join(texts)
         if self.lower and b"\xcc" not in raw and b"\xcd" not in raw:
@@ -149,11 +149,11 @@ class Encoder:
         return out
 
 
-def encoder(vocabulary: str, kind: str) -> Encoder:
+def encoder(vocabulary: str, kind: str, kept: int | None = None) -> Encoder:
     """This worker's encoder for a vocabulary file's content."""
-    key = (hashlib.sha256(vocabulary.encode()).digest(), kind)
+    key = (hashlib.sha256(vocabulary.encode()).digest(), kind, kept)
     if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(vocabulary, kind)
+        _ENCODERS[key] = Encoder(vocabulary, kind, kept)
     return _ENCODERS[key]
 
 

@@ -31,13 +31,22 @@ def test_no_labels_and_empty_table(spark):
     assert df.limit(0).select(Q.score_column(model, df["text"])).count() == 0
 
 
-@pytest.mark.parametrize("part", [3, 1 << 16])
-def test_kept_words_give_the_plain_average(monkeypatch, part):
-    monkeypatch.setattr(Q, "PART_WORDS", part)
+@pytest.mark.parametrize("clash", [False, True])
+def test_kept_words_give_the_plain_average(monkeypatch, clash):
+    from rasterloom.llm import interning
+
+    monkeypatch.setattr(Q, "SLICE", 10)
     monkeypatch.setattr(Q, "KEPT_WORDS", 4)
+    if clash:
+        hashed = interning.Interner._hash
+        monkeypatch.setattr(interning.Interner, "_hash", lambda self, *a: hashed(self, *a) % np.uint64(3) + np.uint64(1))
     rng = np.random.default_rng(5)
     m = Q.Model(rng.normal(size=(Q.BUCKETS, Q.DIM)), rng.normal(size=(Q.DIM, 2)), np.array([0.1, -0.2]))
-    text = "one two two two three fOUR é one five six six"
-    f = [k for w in Q.tokens(text) for k in Q.word_features(w)]
-    z = m.vectors[f].mean(0) @ m.out + m.bias
-    assert m.score(text) == pytest.approx(np.exp(z[1]) / np.exp(z).sum())
+    texts = ["one two two two three fOUR é one five six six", "", "six seven", " \n", "six six\tsix", "é"]
+
+    def plain(text):
+        f = [k for w in Q.tokens(text) for k in Q.word_features(w)]
+        z = (m.vectors[f].mean(0) if f else np.zeros(Q.DIM)) @ m.out + m.bias
+        return np.exp(z[1]) / np.exp(z).sum()
+
+    assert m.scores([t.encode() for t in texts]) == pytest.approx([plain(t) for t in texts])
