@@ -1,13 +1,16 @@
-"""Registered queries of the geospatial engine."""
+"""Registered queries: one for each group of operators, over stand-in tables, with the SQL that says the same."""
 
 from __future__ import annotations
 
-FLAGSHIP = "split_shares"
+from rasterloom.plans import catalogue, rasters, splits, texts
+
+FLAGSHIP = "split_assignment"
+_PARTS = (splits, catalogue, texts, rasters)
 
 
 def queries() -> dict:
-    return {}
+    return {name: run for part in _PARTS for name, (run, _) in part.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for part in _PARTS for name, (_, sql) in part.QUERIES.items() if sql}
