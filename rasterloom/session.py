@@ -27,8 +27,15 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8) -> SparkSes
     )
 
 
+#: Rows of whole texts in an Arrow batch; Spark's own default, 10,000, takes hundreds of megabytes where texts are long.
+BATCH_ROWS = 1000
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once for each application."""
+    """Send this package to the Python workers, once for each application, and make Arrow batches small unless they have been set."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if getattr(ship_package, "app", None) == app:
         return
