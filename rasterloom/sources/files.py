@@ -244,9 +244,18 @@ def register(spark: SparkSession) -> None:
 
 
 def listing(spark: SparkSession, path: str, pattern: str = "*.tif"):
-    """``folder_name, name, length`` of the files below ``path``; contents are never read, as their column is pruned."""
-    from pyspark.sql import functions as F
-
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path).select("path", "length")
-    parts = F.split("path", "/")
-    return files.select(F.element_at(parts, -2).alias("folder_name"), F.element_at(parts, -1).alias("name"), "length")
+    """``folder_name, name, length`` of the files below ``path``, empty ones included, which Spark's own file sources skip.
+
+    Names and sizes come from the file system's listing, as in Spark's file index; no
+    file is opened.
+    """
+    from fnmatch import fnmatch
+
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found, rows = root.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(root, True), []
+    while found.hasNext():
+        f = found.next()
+        name = f.getPath().getName()
+        if fnmatch(name, pattern):
+            rows.append((f.getPath().getParent().getName(), name, f.getLen()))
+    return spark.createDataFrame(rows, "folder_name string, name string, length long")
