@@ -33,6 +33,8 @@ SEGMENT, BATCH = 256, 1024
 #: Parameters start from rounds over this many training texts, chosen by a hash; then come rounds over all.
 SEED_DOCS, SEED_ROUNDS, ROUNDS = 800, 25, 2
 KEPT_WORDS = 1_000_000
+#: Symbols that a scoring task holds at a time.
+HELD_BYTES = 8_000_000
 SLICE = 1 << 20
 END = SINGLES + CLASSES
 
@@ -356,18 +358,28 @@ def likelihoods(encoded: DataFrame, p: Parameters) -> DataFrame:
     keep = ["rid", "doc_id", "held_out", "n_tokens", "n_known", "base", "own"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = np.empty(b.num_rows)
-            seqs = [np.frombuffer(s.as_py(), "<u2").astype(np.int64) for s in b.column(len(keep))]
-            order = sorted(range(len(seqs)), key=lambda k: len(seqs[k]))
-            at = 0
-            while at < len(order):  # texts of like length together, the padded size bounded
-                stop = at + 1
-                while stop < len(order) and stop - at < 2048 and (stop - at + 1) * len(seqs[order[stop]]) <= 8_000_000:
-                    stop += 1
-                out[order[at:stop]] = forward([seqs[k] for k in order[at:stop]], shared.value)
-                at = stop
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(out)], names=[*keep, "hmm"])
+        held, size = [], 0
+        for b in batches:  # many texts at once share the steps of the recursion
+            held.append(b)
+            size += b.nbytes
+            if size > HELD_BYTES:
+                yield scored(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+                held, size = [], 0
+        if sum(b.num_rows for b in held):
+            yield scored(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+
+    def scored(b: pa.RecordBatch) -> pa.RecordBatch:
+        out = np.empty(b.num_rows)
+        seqs = [np.frombuffer(s.as_py(), "<u2").astype(np.int64) for s in b.column(len(keep))]
+        order = sorted(range(len(seqs)), key=lambda k: len(seqs[k]))
+        at = 0
+        while at < len(order):  # texts of like length together, the padded size bounded
+            stop = at + 1
+            while stop < len(order) and stop - at < 2048 and (stop - at + 1) * len(seqs[order[stop]]) <= 4_000_000:
+                stop += 1
+            out[order[at:stop]] = forward([seqs[k] for k in order[at:stop]], shared.value)
+            at = stop
+        return pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(out)], names=[*keep, "hmm"])
 
     kinds = "rid long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, own double, hmm double"
     return encoded.select(*keep, "symbols").mapInArrow(run, kinds)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -73,9 +74,10 @@ class Model:
         n = self.words.size - len(words)
         while self.words.size > len(self.sums):
             self.sums, self.sizes = np.concatenate([self.sums, self.sums]), np.concatenate([self.sizes, self.sizes])
-        for k, w in enumerate(words, n):
-            f = word_features(w)
-            self.sums[k], self.sizes[k] = self.gain[f].sum(), len(f)
+        found = [word_features(w) for w in words]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        gains = self.gain[np.fromiter(chain.from_iterable(found), np.int64, int(size.sum()))]
+        self.sums[n : self.words.size], self.sizes[n : self.words.size] = np.add.reduceat(gains, np.cumsum(size) - size), size
 
     def plain(self, text: bytes) -> tuple[float, float]:
         f = [self.gain[x] for w in tokens(text.decode()) for x in word_features(w)]
