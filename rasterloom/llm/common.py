@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from rasterloom.session import materialize, remove, ship_package, work_dir
 
-__all__ = ["bucket", "documents", "materialize", "packed_words", "remove", "ship_package", "text_of", "words_of", "work_dir"]
+__all__ = ["bucket", "documents", "first_by_hash", "materialize", "packed_words", "remove", "ship_package", "text_of", "words_of", "work_dir"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +26,18 @@ def bucket(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)
 
 
+def first_by_hash(df: DataFrame, n: int, id_col: str, *more: str) -> DataFrame:
+    """The ``n`` rows of the least hash of an id, ties by the id and ``more``.
+
+    Rows far beyond that rank are filtered out first, by a bound that the count of rows
+    gives, so that tasks don't each send ``n`` rows to one place.
+    """
+    total = max(df.count(), 1)
+    h = F.xxhash64(id_col)
+    bound = int(min(1.0, (2 * n + 1000) / total) * (1 << 40))
+    return df.where(F.pmod(h, F.lit(1 << 40)) < bound).orderBy(F.pmod(h, F.lit(1 << 40)), id_col, *more).limit(n)
+
+
 def words_of(text: str | None) -> list[bytes]:
     """ASCII-lower-cased words of a text, split at ``[\\x20\\x09-\\x0D]``, as UTF-8."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []

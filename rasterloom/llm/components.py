@@ -1,41 +1,5 @@
-"""Connected components over an edge table, by alternating large-star and small-star steps."""
+"""Connected components, as the whole library has them."""
 
-from __future__ import annotations
+from rasterloom.operators.components import connected_components
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from rasterloom.llm.common import remove, work_dir
-
-
-def connected_components(edges: DataFrame) -> DataFrame:
-    """``edges(a long, b long)`` -> ``(node, component)`` with the smallest reachable node; nodes without edges don't appear.
-
-    Each round is written to shared storage, so the lineage stays one round deep. A
-    hub's neighbours are never gathered in one row: both stars are a partial
-    minimum for each node followed by a join on the node.
-    Empty input, self loops and repeated edges are fine.
-    """
-    spark = edges.sparkSession
-
-    def put(df: DataFrame) -> tuple[DataFrame, str, tuple]:
-        path = work_dir(spark)
-        df.write.parquet(path)
-        out = spark.read.schema(df.schema).parquet(path)
-        return out, path, tuple(out.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-
-    now, path, mark = put(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    while mark[0]:
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("x"), F.col("u"), "m")
-        small = small.select(F.when(F.col("x") == F.col("m"), F.col("u")).otherwise(F.col("x")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        nxt, nxt_path, nxt_mark = put(small)
-        remove(spark, path)
-        now, path = nxt, nxt_path
-        if nxt_mark == mark:
-            break
-        mark = nxt_mark
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+__all__ = ["connected_components"]

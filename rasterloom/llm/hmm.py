@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rasterloom.llm.common import bucket, documents, materialize, packed_words, remove, ship_package, text_of, work_dir
+from rasterloom.llm.common import bucket, documents, first_by_hash, materialize, packed_words, remove, ship_package, text_of, work_dir
 from rasterloom.llm.interning import Interner
 
 STATES, SINGLES, CLASSES, TABLE = 8, 16_384, 2048, 200_000
@@ -338,7 +338,7 @@ def fit(train: DataFrame, vocab: Vocabulary) -> Parameters:
     """Rounds over a small sample find the states' rough meaning; rounds over all training text make the parameters."""
     unigram = vocab.unigram()
     p = random_parameters(unigram)
-    seed = [bytes(r["symbols"]) for r in train.orderBy(F.xxhash64("doc_id"), "symbols").limit(SEED_DOCS).select("symbols").collect()]
+    seed = [bytes(r["symbols"]) for r in first_by_hash(train.select("doc_id", "symbols"), SEED_DOCS, "doc_id", "symbols").collect()]
     if not seed:
         return p
     for _ in range(SEED_ROUNDS):

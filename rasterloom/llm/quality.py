@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rasterloom.llm.common import bucket, documents, packed_words, ship_package, text_of
+from rasterloom.llm.common import bucket, documents, first_by_hash, packed_words, ship_package, text_of
 from rasterloom.llm.interning import Interner
 
 BUCKETS, DIM, EPOCHS, RATE = 1 << 15, 16, 12, 0.4
@@ -150,7 +150,7 @@ def train(df: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     """
     ship_package(df.sparkSession)
     picked = labels.where(labels[id_col].isNotNull() & labels[label_col].isin(0, 1)).select(labels[id_col].alias("__id"), labels[label_col].alias("__y")).distinct()
-    picked = picked.orderBy(F.xxhash64("__id"), "__y").limit(SAMPLE_DOCS)
+    picked = first_by_hash(picked, SAMPLE_DOCS, "__id", "__y")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -30,9 +30,12 @@ SHARD_CAP = 2048
 HOT_SHARDS = 4096
 
 
-def fingerprint(text: str | None, shingle_words: int = 3, bits: int = 64) -> str:
+def fingerprint(text: str | None, shingle_words: int = 3, bits: int = 64, distinct: bool = False) -> str:
     """SimHash in lower-case hex: a bit is 1 if it is set in over half of the shingles' XXH64 values.
 
+    A shingle counts as often as it occurs, or once if ``distinct``; then the distance of
+    two fingerprints tells how similar the sets of shingles are.
+
     Fewer words than a shingle give one shingle of them all; no words (empty or null
     text) give zero. ``bits`` over 64 take further hash seeds, counted up from 42.
     Memory is bounded for texts of any length: shingles are counted in chunks.
@@ -46,6 +49,9 @@ def fingerprint(text: str | None, shingle_words: int = 3, bits: int = 64) -> str
     starts = np.concatenate(([0], ends[:-1] + 1))
     k = min(shingle_words, len(words))
     starts, ends = starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist()
+    if distinct:
+        places = {joined[s:e]: (s, e) for s, e in zip(starts, ends)}.values()
+        starts, ends = [s for s, _ in places], [e for _, e in places]
     out = ""
     for lane in range(lanes):
         digest, seed, set_bits = xxhash.xxh64_intdigest, SEED + lane, np.zeros(64, np.int64)
@@ -143,12 +149,12 @@ def sampled_bands(bits: int, width: int, tables: int) -> list[list[int]]:
     return out[:tables]
 
 
-def fingerprints(df: DataFrame, id_col: str, text_col: str, shingle_words: int, bits: int) -> DataFrame:
+def fingerprints(df: DataFrame, id_col: str, text_col: str, shingle_words: int, bits: int, distinct: bool = False) -> DataFrame:
     """``(id long, fp string)`` for every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = [fingerprint(t.as_py(), shingle_words, bits) for t in b.column(1)]
+            fps = [fingerprint(t.as_py(), shingle_words, bits, distinct) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.string())], names=["id", "fp"])
 
     return df.select(df[id_col].cast("long").alias("id"), text_of(df, text_col).alias("text")).mapInArrow(run, "id long, fp string")
@@ -239,15 +245,15 @@ def near_bands(n: int) -> list[list[int]]:
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all columns, of which one stays for each group of near copies: that of the smallest id.
 
-    Two texts are linked where the SimHash of their five-word shingles says that the
-    similarity is 0.8 or more, give or take the deviation of the estimate. The radius is
+    Two texts are linked where the SimHash of their sets of five-word shingles says that
+    the similarity is 0.8 or more, give or take the deviation of the estimate. The radius is
     too wide for bits that must agree, so shards are sampled bits, in as many tables as
     leave a pair at 0.8 a chance of 1 % or so to share none. Null ids come after others; rows of equal
     ids are rows of their own; an empty table gives an empty table.
     """
     ship_package(docs.sparkSession)
     rows = docs.withColumn("__rid", F.monotonically_increasing_id())
-    fps = materialize(fingerprints(rows, "__rid", text_col, NEAR_WORDS, NEAR_BITS))
+    fps = materialize(fingerprints(rows, "__rid", text_col, NEAR_WORDS, NEAR_BITS, True))
     of = materialize(near_classes(fps, NEAR_RADIUS, NEAR_BITS, near_bands(fps.count())))
     named = fps.join(of, "fp").join(rows.select(F.col("__rid").alias("id"), F.col(id_col).alias("name")), "id")
     first = named.groupBy("component").agg(F.min(F.struct(F.col("name").isNull().alias("z"), "name", "id")).alias("first"))

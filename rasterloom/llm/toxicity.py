@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rasterloom.llm.common import bucket, documents, ship_package, text_of
+from rasterloom.llm.common import bucket, documents, first_by_hash, ship_package, text_of
 
 WINDOW_WORDS, LEVEL = 4, 3
 BASE_BYTES, HARD_BYTES, HARD_ROUNDS, HARD_GAIN = 16_384, 32_768, 5, 2
@@ -177,7 +177,7 @@ def train(df: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     sizes = {r["__y"]: r["count"] for r in known.groupBy("__y").count().collect()}
     texts: dict[int, list[str]] = {}
     for y in (0, 1):
-        picked = known.where(F.col("__y") == y).orderBy(F.xxhash64("__id"), "__id").limit(SAMPLE_DOCS)
+        picked = first_by_hash(known.where(F.col("__y") == y), SAMPLE_DOCS, "__id")
         rows = df.select(df[id_col].alias("__id"), text_of(df, text_col).alias("__t")).join(F.broadcast(picked), "__id")
         got = rows.groupBy("__id").agg(F.max_by("__t", F.struct(F.length("__t"), "__t")).alias("__t")).toArrow()
         texts[y] = [t for _, t in sorted(zip(got["__id"].to_pylist(), got["__t"].to_pylist()), key=lambda r: (xxhash.xxh32_intdigest(str(r[0])), r[0]))]

@@ -51,7 +51,7 @@ def test_exact_copies_by_brute_force(steps):
 
 
 def test_near_copies_by_all_pairs(steps):
-    rows = [(r.doc_id, int(S.fingerprint(r.text, 5, 256), 16)) for r in steps[2]]
+    rows = [(r.doc_id, int(S.fingerprint(r.text, 5, 256, True), 16)) for r in steps[2]]
     label = {i: i for i, _ in rows}
     for _ in rows:
         before = dict(label)

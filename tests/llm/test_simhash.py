@@ -45,6 +45,14 @@ def test_components_match_brute_force(spark):
     assert got == {i: (f"{fps[i]:016x}", want[i]) for i in texts}
 
 
+def test_distinct_shingles_count_once():
+    words = "a b c d e f g h i j".split()
+    once = " ".join(words)
+    assert S.fingerprint(once + " " + once, 3, 256, True) != S.fingerprint(once + " " + once, 3, 256)
+    cycle = " ".join(words * 2 + words[:2])
+    assert S.fingerprint(cycle, 3, 128, True) == S.fingerprint(" ".join(words + words[:2]), 3, 128)
+
+
 def test_repeated_rows_and_empty_table(spark):
     df = spark.createDataFrame([(5, "a b c d"), (5, "a b c d"), (2, "a b c d"), (None, "q r s")], "doc_id long, text string")
     rows = sorted((str(r.doc_id), str(r.component_id)) for r in S.simhash_components(df).collect())
