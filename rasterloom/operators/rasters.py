@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rasterloom.config import DEFAULTS
+from rasterloom.session import ship_package
 
 # The files of a patch, with bands, pixels along a side, and whether pixels are a mask.
 STACKS = {"input_10m": (5, 256, False), "input_80m": (5, 32, False), "input_160m": (2, 16, False), "input_2560m": (60, 1, False), "flood_mask": (1, 256, True)}
@@ -114,6 +115,7 @@ def cubic(tiles: DataFrame, out_size: int) -> DataFrame:
                 out.append(value.ravel())
             yield pdf[["event", "tile"]].assign(data=out)
 
+    ship_package(tiles.sparkSession)
     return tiles.select("event", "tile", "size", "halo", "data").mapInPandas(run, "event string, tile long, data array<double>")
 
 

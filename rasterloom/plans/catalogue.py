@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rasterloom.functions import geo, keys, sensors
+from rasterloom.operators import acquire as A
 from rasterloom.operators import listing as L
 from rasterloom.operators import tables as B
 from rasterloom.plans import standins as T
@@ -168,6 +169,40 @@ def toggles(spark, d):
     return r.frame(spark).select("key", "bands", "n_days")
 
 
+def _dated(spark, d):
+    """Events of several years around the first one that counts, some without a date, with boxes around the points."""
+    k = F.col("pid")
+    day = F.when(k % 7 == 0, "NODATE").otherwise(F.concat((2014 + k % 8).cast("string"), F.lit("0615")))
+    return T.points(spark, d).select("pid", F.concat(F.lit("EMSR"), (k + 600).cast("string"), F.lit("_AOI01_"), day).alias("folder_name"), F.col("x").alias("minx"), F.col("y").alias("miny"), (F.col("x") + 0.5).alias("maxx"), (F.col("y") + 0.25).alias("maxy"))
+
+
+def scope(spark, d):
+    x = _dated(spark, d)
+    return x.groupBy(A.route(F.col("folder_name")).alias("source"), A.in_scope(F.col("folder_name")).alias("in_scope")).agg(F.count("*").alias("n"))
+
+
+def route_products(spark, d):
+    x = _dated(spark, d).select(keys.parent_code(F.col("folder_name")).alias("code"))
+    return A.routed(x, "code", x.withColumn("via", F.lit("api")), x.withColumn("via", F.lit("html")))
+
+
+def requests(spark, d):
+    x = _dated(spark, d)
+    st = x.select("folder_name", F.explode(F.array(F.lit("S1"), F.lit("Soil"), F.lit("Precipitation"))).alias("key"), "pid")
+    st = st.select("folder_name", "key", F.when((F.col("pid") % 5 == 0) & (F.col("key") == "S1"), "yes").when((F.col("pid") % 11 == 0) & (F.col("key") == "Soil"), "NA").otherwise("no").alias("state"))
+    out = A.requests(x, Registry().frame(spark), st)
+    return out.select("folder_name", "key", "file", F.round("pixel", 8).alias("pixel"), *(F.round(c, 4).alias(c) for c in ("minx", "maxy")), "task")
+
+
+def kinds(spark, d):
+    o = T.table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    kind = A.event_kind(F.when(k % 3 == 0, "Flood"), F.when(k % 2 == 0, "").otherwise("Storm"), F.lit("Other"))
+    return o.select(k.alias("id"), kind.alias("kind"), A.joined_sensors(_sensor(k), F.when(k % 2 == 0, "").otherwise(_sensor(k, 3))).alias("sensors"))
+
+
+_DATED = f"""{T.PTS}, dt AS (SELECT pid, x, y, 'EMSR' || CAST(pid + 600 AS VARCHAR) || '_AOI01_' || CASE WHEN pid % 7 = 0 THEN 'NODATE' ELSE CAST(2014 + pid % 8 AS VARCHAR) || '0615' END AS folder_name, pid % 7 = 0 OR 2014 + pid % 8 >= 2017 AS ok FROM pts)"""
+_REG = """rg(key, stem, pixel, days, pad) AS (VALUES ('S1', 'S1_VV_VH', 0.0001, 0, 0), ('S2_indices', 'S2_NDVI_NDBI', 0.0001, 0, 0), ('MERIT', 'MERIT_Hydro', 90 / 111000.0::DOUBLE, 0, 0), ('Soil', 'Soil', 250 / 111000.0::DOUBLE, 0, 0), ('ESA_PW', 'ESA_PW', 0.0001, 0, 0), ('Precipitation', 'Precipitation', 0.1, 30, 0.6), ('SoilMoisture', 'SoilMoisture', 0.09516, 30, 0.6)), rd AS (SELECT key, stem, CAST(pixel AS DOUBLE) AS p, days, CAST(pad AS DOUBLE) AS pad FROM rg)"""
 _STEM = "CASE key " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in L.RENAMED.items()) + " END"
 _LAYERS = "ly(ord, key, core) AS (VALUES " + ", ".join(f"({k}, '{x}', {{core}})" for k, x in enumerate(T.KEYS)) + ")"
 _ALL = _LAYERS.format(core="true")
@@ -209,5 +244,11 @@ QUERIES = {
  'EMSR' || CAST(c_custkey + 100 AS VARCHAR) || '_AOI' || lpad(CAST(c_custkey % 20 AS VARCHAR), 2, '0') || '_' || CASE WHEN c_custkey % 3 = 0 THEN 'NODATE' ELSE '20200101' END AS act FROM customer)
  SELECT id, label, act, 'EMSR' || CAST(id + 100 AS VARCHAR) AS parent, CAST(id + 100 AS INTEGER) AS number, c_mktsegment || '_área_1' AS safe, label AS base, label || '/x' AS tail FROM x"""),
     "task_name": (ascii_names, f"WITH {T.EV} SELECT folder_name, substr('Evora_Rio_' || replace(continent, ' ', '_') || '_' || folder_name, 1, 70) AS task FROM ev"),
+    "scope_and_source": (scope, f"WITH {_DATED} SELECT CASE WHEN pid + 600 >= 656 THEN 'api' ELSE 'html' END AS source, ok AS in_scope, count(*) AS n FROM dt GROUP BY 1, 2"),
+    "source_routing": (route_products, f"WITH {_DATED} SELECT 'EMSR' || CAST(pid + 600 AS VARCHAR) AS code, CASE WHEN pid + 600 >= 656 THEN 'api' ELSE 'html' END AS via FROM dt"),
+    "request_plan": (requests, f"""WITH {_DATED}, {_REG} SELECT folder_name, key, CASE WHEN days > 0 AND pid % 7 <> 0 THEN stem || '_' || CAST(2014 + pid % 8 AS VARCHAR) || '0516_' || CAST(2014 + pid % 8 AS VARCHAR) || '0614' ELSE stem END AS file, round(p, 8) AS pixel,
+ round(floor(CASE WHEN pad > 0 THEN greatest(x - pad, -180) ELSE x END / p) * p, 4) AS minx, round(ceil(CASE WHEN pad > 0 THEN least(y + 0.25::DOUBLE + pad, 90) ELSE y + 0.25::DOUBLE END / p) * p, 4) AS maxy, folder_name || '_' || key AS task
+ FROM dt CROSS JOIN rd WHERE ok AND pid % 11 <> 0 AND NOT (key = 'S1' AND pid % 5 = 0)"""),
+    "event_kind": (kinds, f"SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN 'Flood' WHEN o_orderkey % 2 <> 0 THEN 'Storm' ELSE 'Other' END AS kind, {T.S0} || CASE WHEN o_orderkey % 2 <> 0 THEN ', ' || {T.S3} ELSE '' END AS sensors FROM orders"),
     "registry_toggles": (toggles, "SELECT * FROM (VALUES ('S1', 2, 0), ('S2_indices', 2, 0), ('MERIT', 4, 0), ('ESA_PW', 1, 0), ('Precipitation', 15, 15), ('SoilMoisture', 30, 30)) AS t(key, bands, n_days)"),
 }

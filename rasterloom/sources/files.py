@@ -19,6 +19,8 @@ import numpy as np
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
+from rasterloom.session import ship_package
+
 RASTER = "path string, event string, band int, row0 int, w int, h int, bands int, minx double, maxy double, res_x double, res_y double, nodata double, data array<float>"
 _TYPES = {1: ("B", 1), 2: ("s", 1), 3: ("H", 2), 4: ("I", 4), 12: ("d", 8), 16: ("Q", 8)}
 
@@ -239,6 +241,8 @@ class PageSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    """Make the three formats known to a session and their code to its workers."""
+    ship_package(spark)
     for s in (RasterSource, PolygonSource, PageSource):
         spark.dataSource.register(s)
 

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rasterloom.functions import geo
+from rasterloom.operators import acquire as A
 from rasterloom.operators import listing as L
 from rasterloom.operators import tables as B
 from rasterloom.registry import CORE, Layer, Registry
@@ -120,6 +121,16 @@ def test_dense_index(spark):
     assert all(r.n == r.a for r in got) and len(got) == 1000
 
 
+def test_append_once_and_regions(spark, tmp_path):
+    store = str(tmp_path / "store")
+    a = spark.createDataFrame([("a", 1), ("b", 2), ("a", 1)], "k string, v int")
+    assert A.append_once(a, store, ["k"]) == 2 and A.append_once(a, store, ["k"]) == 0
+    assert A.append_once(spark.createDataFrame([("c", 3)], "k string, v int"), store, ["k"]) == 1
+    assert spark.read.parquet(store).count() == 3
+    both = A.regions([a, spark.createDataFrame([("z", "w")], "k string, other string")])
+    assert both.columns == ["k", "v", "other"] and both.count() == 4
+
+
 def test_registry(spark):
     r = Registry({"Soil": False}, {"Precipitation": 5})
     made = r.register(Layer("Custom", "Custom", "temporal", 1, 500.0, 3, builder="mine"))
