@@ -22,6 +22,8 @@ from rasterloom.llm.common import bucket, documents, ship_package, text_of
 GRAM = 4
 #: The training sample has about this many documents of each language, chosen by a hash of their id.
 SAMPLE_DOCS = 2000
+#: The most frequent values of the language column, beyond any real number of languages; others are not learned.
+LANGUAGES = 4096
 #: The most frequent n-grams of each language that its filter holds.
 GRAMS = 16384
 #: A language contains an n-gram if its rate there is at least this part of the rate in the language where it is most frequent.
@@ -114,7 +116,7 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """Learn from ``df``'s rows with a language; about ``SAMPLE_DOCS`` of each are read, and their texts whole."""
     ship_package(df.sparkSession)
     rows = df.where(df[lang_col].isNotNull()).select(df[lang_col].cast("string").alias("lang"), F.pmod(F.xxhash64(df[id_col]), F.lit(1 << 20)).alias("h"), text_of(df, text_col).alias("text"))
-    sizes = rows.groupBy("lang").count().select("lang", (F.lit(float(SAMPLE_DOCS << 20)) / F.col("count")).alias("below"))
+    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang", (F.lit(float(SAMPLE_DOCS << 20)) / F.col("count")).alias("below"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[np.ndarray]] = {}
