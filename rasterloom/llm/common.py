@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from rasterloom.session import materialize, remove, ship_package, work_dir
 
-__all__ = ["bucket", "documents", "first_by_hash", "materialize", "packed_words", "remove", "ship_package", "text_of", "words_of", "work_dir"]
+__all__ = ["bucket", "documents", "first_by_hash", "free_name", "materialize", "packed_words", "remove", "ship_package", "text_of", "words_of", "work_dir"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +26,14 @@ def bucket(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def first_by_hash(df: DataFrame, n: int, id_col: str, *more: str) -> DataFrame:
     """The ``n`` rows of the least hash of an id, ties by the id and ``more``.
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rasterloom.llm.common import documents, materialize, text_of
+from rasterloom.llm.common import documents, free_name, materialize, text_of
 
 BLOCK = 4096
 #: Blocks that occur this often are dealt over ``SALTS`` tasks; the ``HOT_BLOCKS`` most frequent are told to all tasks.
@@ -33,10 +33,11 @@ def blocks_of(norm: Column, size: int = BLOCK) -> Column:
     return F.when(F.length(norm) <= size, F.array(norm)).otherwise(cut)
 
 
-def name_blocks(df: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+def name_blocks(df: DataFrame, id_col: str, text_col: str, size: int, rid_col: str | None = None) -> DataFrame:
     """One row for each block: ``rid, i, n, o, name`` and, on a document's first block, ``doc_id, n_cp, sha``."""
     text = text_of(df, text_col)
-    norm = df.select(F.monotonically_increasing_id().alias("rid"), df[id_col].alias("doc_id"), F.length(text).alias("n_cp"), without_spaces(text).alias("norm"))
+    rid = df[rid_col] if rid_col else F.monotonically_increasing_id()
+    norm = df.select(rid.alias("rid"), df[id_col].alias("doc_id"), F.length(text).alias("n_cp"), without_spaces(text).alias("norm"))
     cut = norm.select("rid", "doc_id", "n_cp", F.sha2(F.col("norm").cast("binary"), 256).alias("sha"), blocks_of(F.col("norm"), size).alias("blocks"))
     rows = cut.select("rid", "doc_id", "n_cp", "sha", F.size("blocks").alias("n"), F.posexplode("blocks").alias("i", "block"))
     hot = norm.select(F.explode(blocks_of(F.col("norm"), size)).alias("block")).groupBy(F.xxhash64("block").alias("h")).count()
@@ -63,12 +64,12 @@ def name_pairs(segments: DataFrame) -> DataFrame:
     return materialize(pairs.join(names, ["l", "r"]).select("rid", "i", "o", "name"))
 
 
-def identities(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = BLOCK) -> DataFrame:
+def identities(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = BLOCK, rid_col: str | None = None) -> DataFrame:
     """``rid, doc_id, n_cp, sha, n, name``: rows have equal ``(n, name)`` if and only if their texts are equal without white space.
 
-    ``rid`` is ``monotonically_increasing_id()`` of ``df``.
+    ``rid`` numbers the rows; it is ``rid_col`` if there is one.
     """
-    rows = materialize(name_blocks(df, id_col, text_col, size))
+    rows = materialize(name_blocks(df, id_col, text_col, size, rid_col))
     firsts = rows.where("i = 0").select("rid", "doc_id", "n_cp", "sha", "n", "name")
     top = rows.agg(F.max("n")).first()[0] or 0
     if top < 2:
@@ -80,7 +81,7 @@ def identities(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     return materialize(firsts.join(whole, "rid", "left").withColumn("name", F.coalesce("whole", "name")).drop("whole"))
 
 
-def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = BLOCK) -> DataFrame:
+def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = BLOCK, rid_col: str | None = None) -> DataFrame:
     """``rid, doc_id, keep_id, group_size, kept, text_sha256`` for each row.
 
     Of equal texts the row with the most code points in its original text stays, then
@@ -88,16 +89,22 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows repeated in full exactly one stays. Null texts count as empty, and empty texts
     are equal to each other. An empty table gives an empty table.
     """
-    docs = identities(df, id_col, text_col, size)
+    docs = identities(df, id_col, text_col, size, rid_col)
     best = F.min(F.struct((-F.col("n_cp")).alias("x"), F.col("doc_id").isNull().alias("z"), "doc_id", "rid"))
     groups = materialize(docs.groupBy("n", "name").agg(best.alias("best"), F.count("*").alias("group_size")))
     return docs.join(groups, ["n", "name"]).select("rid", "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", (F.col("rid") == F.col("best.rid")).alias("kept"), F.col("sha").alias("text_sha256"))
 
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    kept = exact_groups(docs, id_col, text_col).where("kept").select(F.col("rid").alias("__rid"))
-    return docs.withColumn("__rid", F.monotonically_increasing_id()).join(kept, "__rid", "left_semi").drop("__rid")
+    """The rows of ``docs`` that stay, with all their columns.
+
+    Rows are numbered in a written table: numbers made anew by a second scan could differ,
+    as splits follow the number of executors.
+    """
+    rid = free_name(docs, "__rid")
+    rows = materialize(docs.withColumn(rid, F.monotonically_increasing_id()))
+    kept = exact_groups(rows, id_col, text_col, rid_col=rid).where("kept").select(F.col("rid").alias(rid))
+    return rows.join(kept, rid, "left_semi").drop(rid)
 
 
 def op10_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:

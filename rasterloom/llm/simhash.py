@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rasterloom.llm.common import documents, materialize, ship_package, text_of, words_of
+from rasterloom.llm.common import documents, free_name, materialize, ship_package, text_of, words_of
 from rasterloom.llm.components import connected_components
 
 SEED = 42
@@ -252,12 +252,14 @@ def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     ids are rows of their own; an empty table gives an empty table.
     """
     ship_package(docs.sparkSession)
-    rows = docs.withColumn("__rid", F.monotonically_increasing_id())
-    fps = materialize(fingerprints(rows, "__rid", text_col, NEAR_WORDS, NEAR_BITS, True))
+    rid = free_name(docs, "__rid")
+    # Written once: numbers made anew by a second scan could differ, as splits follow the number of executors.
+    rows = materialize(docs.withColumn(rid, F.monotonically_increasing_id()))
+    fps = materialize(fingerprints(rows, rid, text_col, NEAR_WORDS, NEAR_BITS, True))
     of = materialize(near_classes(fps, NEAR_RADIUS, NEAR_BITS, near_bands(fps.count())))
-    named = fps.join(of, "fp").join(rows.select(F.col("__rid").alias("id"), F.col(id_col).alias("name")), "id")
+    named = fps.join(of, "fp").join(rows.select(F.col(rid).alias("id"), F.col(id_col).alias("name")), "id")
     first = named.groupBy("component").agg(F.min(F.struct(F.col("name").isNull().alias("z"), "name", "id")).alias("first"))
-    return rows.join(first.select(F.col("first.id").alias("__rid")), "__rid", "left_semi").drop("__rid")
+    return rows.join(first.select(F.col("first.id").alias(rid)), rid, "left_semi").drop(rid)
 
 
 def op4_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,6 +40,6 @@ def test_hot_blocks_keep_one_name(spark, monkeypatch):
 
 
 def test_empty_table_and_stage(spark):
-    df = spark.createDataFrame([(1, "a b", "q"), (2, "ab", "q"), (2, "ab", "q"), (3, "c", "z")], "doc_id long, text string, rid string").coalesce(1)
+    df = spark.createDataFrame([(1, "a b", "q"), (2, "ab", "q"), (2, "ab", "q"), (3, "c", "z")], "doc_id long, text string, __RID string").coalesce(1)
     assert N.exact_groups(df.limit(0)).count() == 0
     assert sorted(map(tuple, N.drop_exact(df).collect())) == [(1, "a b", "q"), (3, "c", "z")]
