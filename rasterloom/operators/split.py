@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rasterloom.config import DEFAULTS
 from rasterloom.functions.keys import codes_of
 from rasterloom.operators.components import connected_components
+from rasterloom.session import materialize
 
 SPLITS = ("train", "val", "test")
 ASSIGNED = "component long, split string"
@@ -126,11 +127,15 @@ def greedy(targets: dict | None = None, weight: float | None = None):
 
 
 def assign(patches: DataFrame, events: DataFrame, targets: dict | None = None) -> DataFrame:
-    """``folder_name, component, split`` for each event that has patches."""
-    a = event_attributes(patches, events)
-    comps = components(a)
+    """``folder_name, component, split`` for each event that has patches.
+
+    What is left of the patches, a row for each event, is written and read again, as the
+    components, the strata and every user of the labels need it anew.
+    """
+    a = materialize(event_attributes(patches, events))
+    comps = materialize(components(a))
     chosen = component_table(strata(a, comps)).withColumn("one", F.lit(1)).groupBy("one").applyInPandas(greedy(targets), ASSIGNED)
-    return comps.join(chosen, "component")
+    return materialize(comps.join(chosen, "component"))
 
 
 def with_split(rows: DataFrame, assigned: DataFrame) -> DataFrame:
