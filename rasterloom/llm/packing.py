@@ -17,6 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rasterloom.llm.common import documents, ship_package, text_of
 from rasterloom.llm.tokens import encoder, vocabulary
@@ -24,6 +25,8 @@ from rasterloom.llm.tokens import encoder, vocabulary
 END_ID, MAX_TOKENS, MAX_SEGMENTS, POOL = 1, 2048, 256, 512
 #: Words whose ids a worker keeps: fewer than by default, as this runs in workers that have done other stages.
 KEPT_WORDS = 400_000
+#: Turns of a conversation that are taken together.
+TURNS = 64
 
 
 @dataclass
@@ -178,6 +181,67 @@ def pack_documents(df: DataFrame, vocab: str, kind: str = "words", end_id: int =
     return df.select(df[id_col].cast("long").alias("id"), text_of(df, text_col).alias("text")).mapInArrow(run, ", ".join(f"{n} long" for n, _ in fields))
 
 
+def pack_conversations(df: DataFrame, vocab: str, kind: str = "words", end_id: int = END_ID, max_tokens: int = MAX_TOKENS, max_segments: int = MAX_SEGMENTS, max_loss: int | None = None, learned: tuple[str, ...] = ("assistant",)) -> DataFrame:
+    """``conv_id, turn, start, length, loss_tokens, sequence_id, offset, sequence_tokens`` for instruction data ``(conv_id, turn, role, text)``.
+
+    An example is a conversation's turns in order, ``end_id`` after each; turns of the
+    ``learned`` roles bear loss, their end ids included. Conversations are taken in pieces
+    of ``TURNS`` turns, which ``turn`` names by their first, so that one with any number
+    of turns is never gathered in one place. Null texts count as empty, null turns as 0;
+    rows of equal turns are ordered by role and text. An empty table gives an empty table.
+    """
+    ship_package(df.sparkSession)
+    shared = df.sparkSession.sparkContext.broadcast(vocab)
+    fields = [(n, pa.int64()) for n in ("conv_id", "turn", "start", "length", "loss_tokens", "sequence_id", "offset", "sequence_tokens")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        enc, packer, number, rows = encoder(shared.value, kind, KEPT_WORDS), Packer(max_tokens, max_segments, max_loss), TaskContext.get().partitionId() << 40, []
+        key, ids, loss = None, [], []
+
+        def note(sequence: list[tuple]) -> None:
+            nonlocal number
+            at, size = 0, sum(n for _, _, n in sequence)
+            for e, start, n in sequence:
+                rows.append((*e.key, start, n, int(e.loss[start : start + n].sum()), number, at, size))
+                at += n
+            number += 1
+
+        def close() -> None:
+            if ids:
+                for s in packer.add(Example((key[0], key[2]), np.concatenate(ids), 0, np.concatenate(loss))):
+                    note(s)
+            ids.clear()
+            loss.clear()
+
+        def out() -> pa.RecordBatch:
+            b = pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows), fields)], names=[n for n, _ in fields])
+            rows.clear()
+            return b
+
+        for b in batches:
+            conv, piece, turn, role = (b.column(k).to_pylist() for k in range(4))
+            for c, p, t, r, x in zip(conv, piece, turn, role, enc.encode(b.column(4).cast(pa.binary()).to_pylist())):
+                if key is None or key[:2] != (c, p):
+                    close()
+                    key = (c, p, t)
+                ids.append(np.append(x, np.uint32(end_id)))
+                loss.append(np.full(len(x) + 1, r in learned))
+            if len(rows) > 10_000:
+                yield out()
+        close()
+        for s in packer.finish():
+            note(s)
+        if rows:
+            yield out()
+
+    turn = F.coalesce(df["turn"].cast("long"), F.lit(0))
+    turns = df.select(df["conv_id"].cast("long").alias("conv_id"), F.floor(turn / TURNS).alias("piece"), turn.alias("turn"), df["role"].alias("role"), text_of(df).alias("text"))
+    dealt = turns.repartition("conv_id", "piece").sortWithinPartitions("conv_id", "piece", "turn", "role", "text")
+    return dealt.mapInArrow(run, ", ".join(f"{n} long" for n, _ in fields))
+
+
 def op8_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 tokens over the whole ``documents`` table."""
     return pack_documents(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))

@@ -71,3 +71,30 @@ def test_limits_hold_together(cut):
         assert all(a == 0 and n == len(e.ids) for s in out for e, a, n in s)
         with pytest.raises(ValueError):
             list(p.add(K.Example(0, np.arange(101))))
+
+
+def test_conversations_keep_turns_and_loss(spark):
+    rng = random.Random(12)
+    rows = [(c, t, "assistant" if t % 2 else "user", " ".join(rng.choice(["hi", "the", "ÉTÉ"]) for _ in range(rng.randrange(60))), 1) for c in range(30) for t in range(rng.randrange(1, 12))]
+    rows += [(99, t, "assistant", "many turns here", 1) for t in range(300)] + [(50, None, None, None, 1), (None, 0, "user", "x", 1), (50, None, None, None, 1)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, length int")
+    got = K.pack_conversations(df, vocabulary("word_bpe_49k.json"), max_loss=500).collect()
+    t = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    tokens, loss = defaultdict(int), defaultdict(int)
+    for c, k, r, x, _ in rows:
+        n = len(t.encode(x or "", add_special_tokens=False).ids) + 1
+        tokens[c, (k or 0) // 64] += n
+        loss[c, (k or 0) // 64] += n * (r == "assistant")
+    have, bear, seqs = defaultdict(int), defaultdict(int), defaultdict(list)
+    for r in got:
+        have[r.conv_id, r.turn // 64] += r.length
+        bear[r.conv_id, r.turn // 64] += r.loss_tokens
+        seqs[r.sequence_id].append(r)
+    assert have == tokens and bear == loss
+    for s in seqs.values():
+        at = 0
+        for r in sorted(s, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= 2048 and len(s) <= K.MAX_SEGMENTS and sum(r.loss_tokens for r in s) <= 500
+    assert K.pack_conversations(df.limit(0), vocabulary("word_bpe_49k.json")).count() == 0
