@@ -37,8 +37,9 @@ GENERATORS = {
     "card": r"(?<![0-9])(?:[0-9]{4}(?:[ ._/-]{0,2}+[0-9]{4}){3}|3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5})(?![0-9])",
     "phone": r"\+[0-9]{1,3} ?\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])|\+[0-9]{1,3}(?:[ .-][0-9]{2,4}){3,4}(?![0-9])|(?<![0-9+])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9.+-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9.-])",
 }
-#: What a text must hold for the patterns above to be tried.
-NEEDS = {"email": r"@|(?i: at |[\[({]at[\])}])", "ip": r"[0-9][.\])]", "card": r"[0-9]{4}", "phone": r"[0-9]{3}"}
+#: What every match of the patterns above holds, so that a text without it need not be tried.
+BASE_NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9]"}
+NEEDS = {"email": r"@|(?i: at |[\[({]at[\])}])", "ip": r"[0-9](?:\.|\[\.\]|\(\.\))[0-9]", "card": r"[0-9]{4}", "phone": r"\+[0-9]|[0-9]{3}"}
 CUES = r"(?i)mail|contact|write|address|server|host|card|visa|credit|pay|tel|phone|call|fax|mobile"
 ANTI_CUES = r"(?i)token|key|hash|secret|version|serial|order|invoice|isbn|no\.|id[ :=]"
 ROUNDS, RATE, LEAVES_LEAST = 40, 0.3, 10.0
@@ -194,7 +195,7 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
     """
     text = df.select(F.monotonically_increasing_id().alias("rid"), df[id_col].alias("doc_id"), text_of(df, text_col).alias("t"))
     t = F.col("t")
-    found = materialize(text.select("rid", "doc_id", *(_found(t, side[k], NEEDS[k]).alias(f"{s}_{k}") for s, side in (("b", BASE), ("g", GENERATORS)) for k in KINDS)))
+    found = materialize(text.select("rid", "doc_id", *(_found(t, side[k], needs[k]).alias(f"{s}_{k}") for s, side, needs in (("b", BASE, BASE_NEEDS), ("g", GENERATORS, NEEDS)) for k in KINDS)))
     rows = materialize(spans(found).withColumn("valid", F.when(F.col("base"), _valid(F.col("kind"), F.col("m"))).otherwise(False)))
     rows = rows.where("valid OR NOT base")
     # Base spans of a kind don't overlap each other, so the last one that begins before a candidate and the first one after are all that can touch it.

@@ -61,6 +61,24 @@ def test_base_spans_match_brute_force_on_odd_text(spark):
     check(spark, rows)
 
 
+def test_base_spans_of_numbers_in_small_groups(spark):
+    texts = ["+33 1 42 68 53 00", "378 282 246 310 005"]
+    for n in (1, 2, 3):
+        for mark in " -":
+            group = lambda d: mark.join(d[i : i + n] for i in range(0, len(d), n))
+            texts += ["call +" + group("33142685300") + " now", "pay " + group("4111111111111111") + " now", group("378282246310005"), "+" + group("4915112345678")]
+    texts += ["at 1.2.3.4", "at 10[.]0[.]0[.]1"]
+    got = {r.doc_id: r for r in check(spark, list(enumerate(texts)))}
+    assert got[0].n_phone == 1 and got[1].n_card == 1
+    assert all(got[i].n_card + got[i].n_phone > 0 for i in range(len(texts) - 2))
+
+
+def test_needs_hold_for_generators():
+    # Java's inline flags and possessive marks hold in Python as well, in a group of their own.
+    for kind, text in {"ip": "10[.]0[.]0[.]1", "phone": "+33 12 34 56 78", "email": "a [at] b [dot] c", "card": "3782 822463 10005"}.items():
+        assert re.search(P.GENERATORS[kind], text) and re.search(P.NEEDS[kind], text)
+
+
 def test_very_long_texts(spark):
     rows = [(0, "1" * 60000), (1, "1 " * 60000), (2, "a@b" + ".c" * 40000), (3, "a" * 60000 + "@"), (4, "+1" + " 2" * 50000), (5, "x@" * 30000), (6, "1." * 50000), (7, "𝄞é " * 30000 + "me@home.org 10.1.2.3")]
     check(spark, rows)
