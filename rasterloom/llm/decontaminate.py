@@ -33,6 +33,8 @@ UNITS = """mm cm m km in ft yd mi inch inches foot feet yard yards mile miles me
 mg g kg t lb lbs oz gram grams kilogram kilograms ton tons tonne tonnes pound pounds ounce ounces ml cl l liter liters litre litres gallon gallons
 s sec second seconds min minute minutes h hr hour hours day days week weeks month months year years mph kmh kph hz khz mhz ghz kb mb gb tb
 w kw mw kwh v a j kj cal kcal pa kpa bar c f k degree degrees percent cent cents dollar dollars euro euros usd eur gbp""".split()
+#: How many templates ``canonical`` makes of a text.
+READINGS = 2
 PRIME = np.uint64(0x100000001B3)
 
 _IN, _DIGIT, _UPPER, _LOWERED, _JOINT, _STOP = (np.zeros(256, bool) for _ in range(6))
@@ -58,8 +60,11 @@ class Template:
 NUM, NAME, UNIT = (1 << 30) + 1, (1 << 30) + 2, (1 << 30) + 3
 
 
-def canonical(texts: list[bytes], words: Interner, learn: bool, units: np.ndarray | None = None) -> Template:
-    """Lower case holds for ASCII and Latin-1 letters. Words all in capitals are literals, not names."""
+def canonical(texts: list[bytes], words: Interner, learn: bool, units: np.ndarray | None = None) -> list[Template]:
+    """All readings of some texts: capitalised words at the start of a sentence as literals, and as names.
+
+    Lower case holds for ASCII and Latin-1 letters. Words all in capitals are literals, not names.
+    """
     raw = b"\n".join(texts) + b"\n"
     b = np.frombuffer(raw, np.uint8)
     inside = _IN[b]
@@ -71,7 +76,7 @@ def canonical(texts: list[bytes], words: Interner, learn: bool, units: np.ndarra
     begin, end = np.nonzero(edge == 1)[0], np.nonzero(edge == -1)[0]
     empty = np.zeros(0, np.int64)
     if not len(begin):
-        return Template(raw, empty, empty, empty, empty)
+        return [Template(raw, empty, empty, empty, empty)] * READINGS
     low = b.copy()
     low[_UPPER[b]] += 32
     wide = np.nonzero((b[:-1] == 0xC3) & (b[1:] >= 0x80) & (b[1:] <= 0x9E) & (b[1:] != 0x97))[0] + 1
@@ -97,14 +102,22 @@ def canonical(texts: list[bytes], words: Interner, learn: bool, units: np.ndarra
         unit[1:] &= has_digit[:-1] & (text[1:] == text[:-1])
         unit[0] = False
         kind[unit] = UNIT
-    name = capital[begin] & lowers & ~starts & ~has_digit & (kind != UNIT)
-    kind[name] = NAME
     kind[has_digit] = NUM
-    again = np.zeros(len(kind), bool)
-    again[1:] = name[1:] & name[:-1] & (text[1:] == text[:-1])
-    keep = np.nonzero(~again)[0]
-    last = np.append(keep[1:], len(kind)) - 1
-    return Template(raw, kind[keep], text[keep], begin[keep], end[last])
+    named = capital[begin] & lowers & ~has_digit & (kind != UNIT)
+    out = []
+    for name in (named & ~starts, named):
+        again = np.zeros(len(kind), bool)
+        again[1:] = name[1:] & name[:-1] & ~starts[1:]
+        # 'Tell Anna' is no name of two words, unless a name begins with 'Tell' within a sentence of the text.
+        first = np.nonzero(again[1:] & starts[:-1])[0]
+        if len(first):
+            word = lambda k: (int(text[k]), low[begin[k] : end[k]].tobytes())
+            others = {word(k) for k in np.nonzero(named & ~starts & np.isin(text, text[first]))[0]}
+            again[1 + first] = [word(k) in others for k in first]
+        keep = np.nonzero(~again)[0]
+        last = np.append(keep[1:], len(kind)) - 1
+        out.append(Template(raw, np.where(name, NAME, kind)[keep], text[keep], begin[keep], end[last]))
+    return out
 
 
 def hashes(t: Template, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -125,15 +138,14 @@ def hashes(t: Template, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Index:
-    """All windows of the items' templates."""
+    """All windows of the items' templates, for each reading; ``tables`` by reading and width."""
 
     item_ids: list
     words: Interner
     units: np.ndarray
-    template: Template
-    first: np.ndarray
-    sizes: np.ndarray
-    tables: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
+    templates: list[Template]
+    sizes: list[np.ndarray]
+    tables: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
 
     def scan(self, texts: list[bytes | None]) -> list[list[tuple]]:
         """For each text its matches: ``(item id, longest run, item tokens, slots, changed slots)``."""
@@ -144,26 +156,30 @@ class Index:
                 todo.append(i)
                 size += len(t)
             if todo and (size > SLICE or i == len(texts) - 1):
-                t = canonical([texts[k] for k in todo], self.words, False, self.units)
+                read = canonical([texts[k] for k in todo], self.words, False, self.units)
                 found: dict[tuple, list[tuple]] = defaultdict(list)
-                for width, (keys, places) in self.tables.items():
+                for (reading, width), (keys, places) in self.tables.items():
+                    t, items = read[reading], self.templates[reading].text
                     h, where = hashes(t, width)
                     lo = np.searchsorted(keys, h, "left")
                     hit = np.nonzero(keys[np.minimum(lo, len(keys) - 1)] == h)[0] if len(keys) else []
                     for k in hit:
                         j = int(lo[k])
                         while j < len(keys) and keys[j] == h[k]:
-                            found[int(t.text[where[k]]), int(self.template.text[places[j]])].append((int(where[k]) - int(places[j]), int(where[k]), width))
+                            found[int(t.text[where[k]]), int(items[places[j]]), reading].append((int(where[k]) - int(places[j]), int(where[k]), width))
                             j += 1
-                for (doc, item), windows in sorted(found.items()):
-                    if (m := self.match(t, item, windows)) is not None:
+                last = None
+                for (doc, item, reading), windows in sorted(found.items()):
+                    # The first reading that matches is told.
+                    if (doc, item) != last and (m := self.match(read[reading], item, windows, reading)) is not None:
                         out[todo[doc]].append(m)
+                        last = doc, item
                 todo, size = [], 0
         return out
 
-    def match(self, t: Template, item: int, windows: list[tuple]) -> tuple | None:
-        """The longest run of one item in one text, if it is long enough."""
-        best, n = (0, 0, 0), int(self.sizes[item])
+    def match(self, t: Template, item: int, windows: list[tuple], reading: int) -> tuple | None:
+        """The longest run of one item in one text by one reading, if it is long enough."""
+        best, n, own = (0, 0, 0), int(self.sizes[reading][item]), self.templates[reading]
         spans: list[list[int]] = []
         for shift, place, width in sorted(set(windows)):
             if spans and spans[-1][0] == shift and place <= spans[-1][2]:
@@ -174,11 +190,11 @@ class Index:
             ours, theirs, length, slots, changed = {}, {}, 0, 0, 0
             for p in range(start, stop):
                 q = p - shift
-                if t.kind[p] != self.template.kind[q]:
+                if t.kind[p] != own.kind[q]:
                     ours, theirs, length, slots, changed = {}, {}, 0, 0, 0
                     continue
                 if t.kind[p] >= NUM:
-                    a = (int(t.kind[p]), self.template.raw[self.template.begin[q] : self.template.end[q]].lower())
+                    a = (int(t.kind[p]), own.raw[own.begin[q] : own.end[q]].lower())
                     d = (int(t.kind[p]), t.raw[t.begin[p] : t.end[p]].lower())
                     if ours.setdefault(a, d) != d or theirs.setdefault(d, a) != a:
                         ours, theirs, length, slots, changed = {a: d}, {d: a}, 0, 0, 0
@@ -194,18 +210,18 @@ class Index:
 def build(items: list[tuple[int | None, str | None]]) -> Index:
     """From ``(item id, text)``; items of fewer than ``SHORTEST`` tokens are too common to tell anything and match nothing."""
     words = Interner()
-    unit_words = canonical([" ".join(UNITS).encode()], words, True).kind
-    t = canonical([(x or "").encode() for _, x in items], words, True, unit_words)
-    sizes = np.bincount(t.text, minlength=len(items)) if len(items) else np.zeros(0, np.int64)
-    index = Index([i for i, _ in items], words, unit_words, t, np.cumsum(sizes) - sizes, sizes)
-    for width in sorted({int(min(WINDOW, n)) for n in sizes if n >= SHORTEST}):
-        h, at = hashes(t, width)
-        # Windows narrower than WINDOW are whole items.
-        if width < WINDOW:
-            whole = sizes[t.text[at]] == width
-            h, at = h[whole], at[whole]
-        order = np.lexsort((at, h))
-        index.tables[width] = (h[order], at[order])
+    unit_words = canonical([" ".join(UNITS).encode()], words, True)[0].kind
+    templates = canonical([(x or "").encode() for _, x in items], words, True, unit_words)
+    index = Index([i for i, _ in items], words, unit_words, templates, [np.bincount(t.text, minlength=len(items)) for t in templates])
+    for reading, (t, sizes) in enumerate(zip(templates, index.sizes)):
+        for width in sorted({int(min(WINDOW, n)) for n in sizes if n >= SHORTEST}):
+            h, at = hashes(t, width)
+            # Windows narrower than WINDOW are whole items.
+            if width < WINDOW:
+                whole = sizes[t.text[at]] == width
+                h, at = h[whole], at[whole]
+            order = np.lexsort((at, h))
+            index.tables[reading, width] = (h[order], at[order])
     return index
 
 

@@ -47,6 +47,18 @@ def test_slots_must_be_consistent():
     assert mixed == [] or mixed[0][1] < 18
 
 
+def test_names_at_the_start_of_sentences():
+    item = "Alice has 3 apples. Alice gives Bob 2 apples. How many apples does Alice have left?"
+    index = D.build([(1, item)])
+    other = item.replace("Alice", "Carol").replace("Bob", "Dan").replace("3", "9")
+    for text in (other, "Some words. " + other, other.replace("Carol", "Carol Jones")):
+        assert [m[0] for m in index.scan([text.encode()])[0]] == [1], text
+    # Sentences so short that every window holds a start.
+    item = "Anna likes to run far. Bob swims with his dog. Carl never walks to school. Who was home first?"
+    text = item.replace("Anna", "Dora").replace("Bob", "Ed").replace("Carl", "Fay")
+    assert [m[0] for m in D.build([(1, item)]).scan([text.encode()])[0]] == [1]
+
+
 def test_empty_sides(spark):
     assert found(spark, [(1, "some text")], [(1, "")]) == []
     docs = spark.createDataFrame([], "doc_id long, text string")
