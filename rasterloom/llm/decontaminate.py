@@ -6,6 +6,7 @@ all windows of a benchmark item's template are looked up by a broadcast hash joi
 each document. Windows that match along one alignment make a run, in which a value of
 the item must always stand for the same value of the document, and the reverse; so a
 question asked again with other numbers and names is found, and a chance mixture isn't.
+Words and numbers as they are make windows too, for items that are mostly placeholders.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ mg g kg t lb lbs oz gram grams kilogram kilograms ton tons tonne tonnes pound po
 s sec second seconds min minute minutes h hr hour hours day days week weeks month months year years mph kmh kph hz khz mhz ghz kb mb gb tb
 w kw mw kwh v a j kj cal kcal pa kpa bar c f k degree degrees percent cent cents dollar dollars euro euros usd eur gbp""".split()
 #: How many templates ``canonical`` makes of a text.
-READINGS = 2
+READINGS = 3
 PRIME = np.uint64(0x100000001B3)
 
 _IN, _DIGIT, _UPPER, _LOWERED, _JOINT, _STOP = (np.zeros(256, bool) for _ in range(6))
@@ -61,7 +62,7 @@ NUM, NAME, UNIT = (1 << 30) + 1, (1 << 30) + 2, (1 << 30) + 3
 
 
 def canonical(texts: list[bytes], words: Interner, learn: bool, units: np.ndarray | None = None) -> list[Template]:
-    """All readings of some texts: capitalised words at the start of a sentence as literals, and as names.
+    """All readings of some texts: capitalised words at the start of a sentence as literals, and as names; and all words and numbers as they are.
 
     Lower case holds for ASCII and Latin-1 letters. Words all in capitals are literals, not names.
     """
@@ -97,6 +98,7 @@ def canonical(texts: list[bytes], words: Interner, learn: bool, units: np.ndarra
     packed = low[inside].tobytes()
     numbers = words.numbers(packed, np.cumsum(size) - size, (lambda _: None) if learn else None)
     kind = np.where(numbers < 0, -1, numbers)
+    plain_kind = kind.copy()
     if units is not None:
         unit = np.isin(kind, units)
         unit[1:] &= has_digit[:-1] & (text[1:] == text[:-1])
@@ -117,7 +119,7 @@ def canonical(texts: list[bytes], words: Interner, learn: bool, units: np.ndarra
         keep = np.nonzero(~again)[0]
         last = np.append(keep[1:], len(kind)) - 1
         out.append(Template(raw, np.where(name, NAME, kind)[keep], text[keep], begin[keep], end[last]))
-    return out
+    return [*out, Template(raw, plain_kind, text, begin, end)]
 
 
 def hashes(t: Template, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -136,6 +138,11 @@ def hashes(t: Template, width: int) -> tuple[np.ndarray, np.ndarray]:
     return h, at
 
 
+def least_run(n: int) -> int:
+    """The tokens that a run must have to match an item of ``n``."""
+    return min(RUN, max(SHORTEST, int(-(-n * SHARE // 1))))
+
+
 @dataclass
 class Index:
     """All windows of the items' templates, for each reading; ``tables`` by reading and width."""
@@ -202,7 +209,7 @@ class Index:
                     changed += a != d
                 length += 1
                 best = max(best, (length, slots, changed))
-        if best[0] >= min(RUN, max(SHORTEST, -(-n * SHARE // 1))):
+        if best[0] >= least_run(n):
             return (self.item_ids[item], best[0], n, best[1], best[2])
         return None
 
@@ -214,12 +221,13 @@ def build(items: list[tuple[int | None, str | None]]) -> Index:
     templates = canonical([(x or "").encode() for _, x in items], words, True, unit_words)
     index = Index([i for i, _ in items], words, unit_words, templates, [np.bincount(t.text, minlength=len(items)) for t in templates])
     for reading, (t, sizes) in enumerate(zip(templates, index.sizes)):
-        for width in sorted({int(min(WINDOW, n)) for n in sizes if n >= SHORTEST}):
+        # Windows of short items are as narrow as the run that they need, or the whole item, which may have literals enough where those haven't.
+        widths = np.array([min(WINDOW, least_run(n)) if n >= SHORTEST else 0 for n in sizes.tolist()], np.int64)
+        whole = np.where(widths > 0, np.minimum(sizes, WINDOW), 0)
+        for width in sorted({*widths.tolist(), *whole.tolist()} - {0}):
             h, at = hashes(t, width)
-            # Windows narrower than WINDOW are whole items.
-            if width < WINDOW:
-                whole = sizes[t.text[at]] == width
-                h, at = h[whole], at[whole]
+            own = (widths[t.text[at]] == width) | (whole[t.text[at]] == width)
+            h, at = h[own], at[own]
             order = np.lexsort((at, h))
             index.tables[reading, width] = (h[order], at[order])
     return index

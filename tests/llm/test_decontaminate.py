@@ -59,6 +59,28 @@ def test_names_at_the_start_of_sentences():
     assert [m[0] for m in D.build([(1, item)]).scan([text.encode()])[0]] == [1]
 
 
+@pytest.mark.parametrize("item", ["12 + 35 = 47, 16 + 29 = 45, 81 - 16 = 65", "Anna, Bob, Carl, Dora, Emil, Fritz, Gerda", "3 km 5 kg 7 miles 12 hours 9 lbs 4 oz", "What is the capital of France"])
+def test_verbatim_items_whatever_they_consist_of(item):
+    index = D.build([(1, item)])
+    for text in (item, f"Question: {item} and no more", f"so we ask. {item}"):
+        assert [m[0] for m in index.scan([text.encode()])[0]] == [1], text
+
+
+@pytest.mark.parametrize("n", range(5, 9))
+def test_share_holds_for_short_items(n):
+    words = "we often like some very small green birds".split()[:n]
+    index, need = D.build([(1, " ".join(words))]), -(-n * 4 // 5)
+    for at in range(n - need + 1):
+        text = " ".join(["xx", *words[at : at + need], "yy"])
+        assert [m[1] for m in index.scan([text.encode()])[0]] == [need], text
+    assert index.scan([" ".join(["xx", *words[: need - 1], "yy"]).encode()]) == [[]]
+
+
+@pytest.mark.parametrize(("item", "text"), [("we paid 5 to Anna for 7 km there", "we paid 6 to Bob for 9 km there"), ("ask Anna 5 km or so", "ask Bob 6 km or so")])
+def test_short_items_need_literals_as_a_whole_only(item, text):
+    assert [m[0] for m in D.build([(1, item)]).scan([text.encode()])[0]] == [1]
+
+
 def test_empty_sides(spark):
     assert found(spark, [(1, "some text")], [(1, "")]) == []
     docs = spark.createDataFrame([], "doc_id long, text string")
