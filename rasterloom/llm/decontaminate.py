@@ -96,7 +96,7 @@ def canonical(texts: list[bytes], words: Interner, learn: bool, units: np.ndarra
     starts = np.ones(len(begin), bool)
     starts[1:] = (stops[begin[1:]] != stops[end[:-1] - 1]) | (text[1:] != text[:-1])
     packed = low[inside].tobytes()
-    numbers = words.numbers(packed, np.cumsum(size) - size, (lambda _: None) if learn else None)
+    numbers = words.numbers(packed, np.cumsum(size) - size, (lambda *_: None) if learn else None)
     kind = np.where(numbers < 0, -1, numbers)
     plain_kind = kind.copy()
     if units is not None:

@@ -88,7 +88,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
                 packed, starts, _ = segments_of(part)
                 if not len(starts):
                     continue
-                at = table.numbers(packed, starts, lambda _: None)
+                at = table.numbers(packed, starts, lambda *_: None)
                 if (clash := np.nonzero(at < 0)[0]).size:
                     ends = np.append(starts[1:], len(packed))
                     odd.update(packed[starts[k] : ends[k]] for k in clash.tolist())
@@ -135,7 +135,7 @@ class Vocabulary:
         if self.table is None:
             self.table = Interner()
             starts = np.cumsum([0, *map(len, self.words[:-1])]) if self.words else np.zeros(0, np.int64)
-            if self.words and (self.table.numbers(b"".join(self.words), starts, lambda _: None) != np.arange(len(self.words))).any():
+            if self.words and (self.table.numbers(b"".join(self.words), starts, lambda *_: None) != np.arange(len(self.words))).any():
                 raise ValueError("two words of the table share a hash")
         return self.table
 

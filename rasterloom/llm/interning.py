@@ -26,10 +26,13 @@ class Interner:
     def reset(self) -> None:
         self.size = 0
         self.keys, self.vals = np.zeros(1 << 12, np.uint64), np.zeros(1 << 12, np.int32)
-        self.hashes = np.zeros(1 << 10, np.uint64)
-        self.begins, self.lens = np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.int64)
+        self.begins, self.lens = np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.int32)
         self.store, self.used = np.zeros(1 << 13, np.uint8), 0
 
+    @property
+    def nbytes(self) -> int:
+        return sum(x.nbytes for x in (self.keys, self.vals, self.begins, self.lens, self.store))
+
     def _grow_powers(self, n: int) -> None:
         if n > len(self.powers):
             n = max(n, 1 << 20)
@@ -76,69 +79,77 @@ class Interner:
             todo = np.delete(todo, won)
             step += 1
 
-    def _add(self, words: list[bytes], h: np.ndarray) -> None:
+    def _add(self, packed: np.ndarray, lens: np.ndarray, h: np.ndarray) -> None:
         """New words with hashes that the table doesn't have."""
-        n, size = self.size, self.size + len(words)
+        n, size = self.size, self.size + len(lens)
         while size > len(self.begins):
-            self.begins, self.lens, self.hashes = (np.concatenate([x, x]) for x in (self.begins, self.lens, self.hashes))
-        lens = np.fromiter(map(len, words), np.int64, len(words))
-        total = int(lens.sum())
-        while self.used + total > len(self.store):
+            self.begins, self.lens = (np.concatenate([x, x]) for x in (self.begins, self.lens))
+        while self.used + len(packed) > len(self.store):
             self.store = np.concatenate([self.store, self.store])
-        self.store[self.used : self.used + total] = np.frombuffer(b"".join(words), np.uint8)
-        self.begins[n:size], self.lens[n:size], self.hashes[n:size] = self.used + np.cumsum(lens) - lens, lens, h
-        self.used, self.size = self.used + total, size
+        self.store[self.used : self.used + len(packed)] = packed
+        self.begins[n:size], self.lens[n:size] = self.used + np.cumsum(lens) - lens, lens
+        self.used, self.size = self.used + len(packed), size
         if 2 * size > len(self.keys):
             room = len(self.keys)
             while 2 * size > room:
                 room *= 2
+            old = np.nonzero(self.keys)[0]
+            keys, vals = self.keys[old], self.vals[old]
             self.keys, self.vals = np.zeros(room, np.uint64), np.zeros(room, np.int32)
-            self._place(self.hashes[:size], np.arange(size, dtype=np.int32))
-        else:
-            self._place(h, np.arange(n, size, dtype=np.int32))
+            self._place(keys, vals)
+        self._place(h, np.arange(n, size, dtype=np.int32))
 
-    def numbers(self, raw: bytes, starts: np.ndarray, learn: Callable[[list[bytes]], None] | None) -> np.ndarray:
+    def numbers(self, raw: bytes, starts: np.ndarray, learn: Callable[[np.ndarray, np.ndarray], None] | None) -> np.ndarray:
         """The number of each segment of ``raw``; segments begin at ``starts`` (ascending, the first 0) and are not empty.
 
-        New words are passed to ``learn`` in the order of their numbers. With None,
-        new words get -1. A word whose hash belongs to another word gets ``-2``.
+        New words are numbered in the order in which they come, and passed to ``learn``
+        as their bytes, packed, and their lengths. With None, new words get -1. A word
+        whose hash belongs to another word gets ``-2``.
         """
         data = np.frombuffer(raw, np.uint8)
         ends = np.append(starts[1:], len(data))
         h = self._hash(data, starts, ends)
         out = self._find(h)
         lens = ends - starts
-        known = out >= 0
+        known = np.nonzero(out >= 0)[0]
         # A match must have the same length and the same bytes.
-        safe = np.where(known, out, 0)
-        same = known & (self.lens[safe] == lens)
-        if same.any():
-            use = same if not same.all() else slice(None)
-            n = lens[use]
-            inside = np.arange(int(n.sum()))
-            first = np.cumsum(n) - n
-            theirs = self.store[np.repeat(self.begins[safe[use]] - first, n) + inside]
-            ours = data if isinstance(use, slice) else data[np.repeat(starts[use] - first, n) + inside]
-            differ = np.nonzero(theirs != ours)[0]
-            if len(differ):
-                bad = np.unique(np.searchsorted(first, differ, "right") - 1)
-                same[np.nonzero(same)[0][bad]] = False
-        out[known & ~same] = -2
+        same = self.lens[out[known]] == lens[known]
+        at = known[same]
+        same[same] = equal_segments(self.store, self.begins[out[at]], data, starts[at], lens[at])
+        out[known[~same]] = -2
         new = np.nonzero(out == -1)[0]
         if len(new) and learn:
-            words = [raw[s:e] for s, e in zip(starts[new].tolist(), ends[new].tolist())]
-            first: dict[bytes, int] = {}
-            by_hash: dict[int, bytes] = {}
-            take = []
-            for k, (w, x) in enumerate(zip(words, h[new].tolist())):
-                if w not in first:
-                    if by_hash.setdefault(x, w) != w:
-                        first[w] = -2
-                    else:
-                        first[w] = self.size + len(take)
-                        take.append(k)
-            fresh = [words[k] for k in take]
-            self._add(fresh, h[new[take]])
-            learn(fresh)
-            out[new] = [first[w] for w in words]
+            _, first, word = np.unique(h[new], return_index=True, return_inverse=True)
+            order = np.argsort(first)
+            number = np.empty(len(first), np.int64)
+            number[order] = np.arange(len(first))
+            mine, its = new, new[first[word]]
+            same = lens[mine] == lens[its]
+            same[same] = equal_segments(data, starts[its[same]], data, starts[mine[same]], lens[mine[same]])
+            out[new] = np.where(same, self.size + number[word], -2)
+            fresh = new[first[order]]
+            packed, sizes = data[segment_places(starts[fresh], lens[fresh])], lens[fresh]
+            self._add(packed, sizes, h[fresh])
+            learn(packed, sizes)
         return out
+
+
+def segment_places(begins: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """The places of all bytes of some segments."""
+    first = np.cumsum(lens) - lens
+    return np.repeat(begins - first, lens) + np.arange(int(lens.sum()))
+
+
+def equal_segments(a: np.ndarray, a_begins: np.ndarray, b: np.ndarray, b_begins: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """Whether segments of two byte arrays, pairwise of equal lengths, hold the same bytes."""
+    out = np.ones(len(lens), bool)
+    differ = np.nonzero(a[segment_places(a_begins, lens)] != b[segment_places(b_begins, lens)])[0]
+    if len(differ):
+        out[np.searchsorted(np.cumsum(lens), differ, "right")] = False
+    return out
+
+
+def split_words(packed: np.ndarray, lens: np.ndarray) -> list[bytes]:
+    """The words that ``learn`` is given, as bytes."""
+    raw, ends = packed.tobytes(), np.cumsum(lens)
+    return [raw[b:e] for b, e in zip((ends - lens).tolist(), ends.tolist())]

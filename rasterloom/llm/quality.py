@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rasterloom.llm.common import bucket, documents, first_by_hash, packed_words, ship_package, text_of
-from rasterloom.llm.interning import Interner
+from rasterloom.llm.interning import Interner, split_words
 
 BUCKETS, DIM, EPOCHS, RATE = 1 << 15, 16, 12, 0.4
 #: The classifier is fitted on this many labelled documents at most, chosen by a hash of their id.
@@ -70,8 +70,8 @@ class Model:
     def forget(self) -> None:
         self.words, self.sums, self.sizes = Interner(), np.zeros(1024), np.zeros(1024)
 
-    def learn(self, words: list[bytes]) -> None:
-        n = self.words.size - len(words)
+    def learn(self, packed: np.ndarray, lens: np.ndarray) -> None:
+        n, words = self.words.size - len(lens), split_words(packed, lens)
         while self.words.size > len(self.sums):
             self.sums, self.sizes = np.concatenate([self.sums, self.sums]), np.concatenate([self.sizes, self.sizes])
         found = [word_features(w) for w in words]

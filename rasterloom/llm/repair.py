@@ -1,18 +1,20 @@
 """Token ids in Re-Pair shards: a grammar for each shard, with random access to documents and ranges.
 
-A shard holds whole documents in order. Round by round the most frequent pairs of
-neighbouring symbols within documents become nonterminals. A shard is one row of a
-Parquet table, written by Spark's committer; its ``payload`` is laid out as follows,
-little-endian:
+A shard holds whole documents in order. Pairs of neighbouring symbols within documents
+become nonterminals, the more frequent of two that overlap first, until no pair occurs
+``least`` times; with the default of 2, until none is left that repeats. A shard is one
+row of a Parquet table, written by Spark's committer; its ``payload`` is laid out as
+follows, little-endian:
 
-    magic "RPR1"; uint32 documents, rules, first nonterminal, bytes for each symbol; uint64 symbols
+    magic "RPR2"; uint32 documents, rules, first nonterminal; uint8 bits of a symbol; uint8 bytes of a length; uint64 symbols
     int64 document ids; uint8 null-id flags; uint64 ends of the documents in symbols
-    uint32 left, uint32 right, uint32 expansion length of each rule
-    the symbols, uint16 or uint32
+    the left and then the right symbol of each rule; the symbols: each of the three padded to a multiple of 8 symbols, bit by bit from the least
+    the expansion length of each rule, uint16, uint32 or uint64
 """
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -26,93 +28,173 @@ from rasterloom.llm.tokens import encoder, vocabulary
 
 END_ID = 2
 SHARD_TOKENS = 1 << 20
-ROUNDS, RULES, LEAST, DENSE = 6, 15_000, 12, 1024
-HEAD = "<4sIIIIQ"
-
-
-def replace_round(s: np.ndarray, last: np.ndarray, new: int, room: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """One round: ``(symbols, last, left, right)`` after the most frequent pairs got the names ``new``, ``new + 1``, ...
-
-    A pair is at most as frequent as either symbol, so pairs of the ``DENSE`` most
-    frequent symbols, counted in full, hold all pairs above the least of those
-    frequencies; no pair below that bound is taken.
+#: Pairs that occur so often are replaced; 2 leaves no pair that repeats.
+LEAST = 2
+HEAD = "<4sIIIBBQ"
+
+
+def grammar(ids: np.ndarray, ends: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Re-Pair over documents that end at ``ends``: ``(symbols, ends, left, right, lens)``.
+
+    Nonterminals are numbered from the largest id on; ``lens`` are the rules' expansion
+    lengths. In each round pairs get a name where they are more frequent than both pairs
+    that overlap them, which is what taking the most frequent pair first comes to there;
+    then all other places of the named pairs follow that no longer overlap a more
+    frequent one, so no pair has two names. A replacement can only lower the counts of
+    the pairs that were there before, so the next round counts only the pairs around new
+    symbols and those left over. Counts leave out overlaps of a pair with itself, as in
+    a run of one id.
     """
-    often = np.bincount(s)
-    least = LEAST
-    if np.count_nonzero(often >= least) > DENSE:
-        least = max(least, int(np.partition(often, -DENSE)[-DENSE]) + 1)
-    names = np.nonzero(often >= least)[0]
-    none = np.zeros(0, s.dtype)
-    if not len(names) or len(s) < 2:
-        return s, last, none, none
-    rank = np.full(len(often), -1, np.int32)
-    rank[names] = np.arange(len(names), dtype=np.int32)
-    r = rank[s]
-    at = np.nonzero((r[:-1] >= 0) & (r[1:] >= 0) & ~last[:-1])[0]
-    pair = r[at].astype(np.int64) * len(names) + r[at + 1]
-    counts = np.bincount(pair, minlength=len(names) ** 2)
-    chosen = np.nonzero(counts >= least)[0]
-    if len(chosen) > room:
-        chosen = np.sort(chosen[np.argsort(-counts[chosen], kind="stable")[:room]])
-    if not len(chosen):
-        return s, last, none, none
-    rule = np.full(len(counts), -1, np.int32)
-    rule[chosen] = np.arange(len(chosen), dtype=np.int32)
-    hit = rule[pair]
-    at, hit = at[hit >= 0], hit[hit >= 0]
-    # Of neighbouring hits every other one is taken, from the left.
-    starts = np.concatenate(([True], np.diff(at) != 1))
-    first = np.maximum.accumulate(np.where(starts, np.arange(len(at)), 0))
-    take = (np.arange(len(at)) - first) % 2 == 0
-    at, hit = at[take], hit[take]
-    used = np.bincount(hit, minlength=len(chosen)) > 0
-    rename = (np.cumsum(used) - 1).astype(s.dtype)
-    out, ends = s.copy(), last.copy()
-    out[at] = new + rename[hit]
-    ends[at] = last[at + 1]
-    keep = np.ones(len(s), bool)
-    keep[at + 1] = False
-    left, right = names[chosen[used] // len(names)], names[chosen[used] % len(names)]
-    return out[keep], ends[keep], left.astype(s.dtype), right.astype(s.dtype)
-
-
-def pack_shard(doc_ids: list[int | None], docs: list[np.ndarray]) -> bytes:
-    """The payload for documents of at least one id each."""
-    import struct
-
-    s = np.concatenate(docs).astype(np.int32) if docs else np.zeros(0, np.int32)
-    last = np.zeros(len(s), bool)
-    last[np.cumsum([len(d) for d in docs], dtype=np.int64) - 1] = True
-    first = int(s.max()) + 1 if len(s) else 0
-    left, right = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
-    made = 0
-    for _ in range(ROUNDS):
-        s, last, a, b = replace_round(s, last, first + made, min(RULES - made, 2048))
-        if not len(a):
+    n = len(ids)
+    first = int(ids.max()) + 1 if n else 0
+    sym = np.append(ids.astype(np.int32), np.int32(0))
+    following, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
+    following[ends - 1] = following[n] = n
+    before[ends[:-1]] = before[n] = n
+    before[:1] = n
+    rank, seen = np.zeros(n + 1, np.int32), np.zeros(n + 1, bool)
+    seen[n] = True
+    bits, made = n.bit_length(), 0
+    rules = [(np.zeros(0, np.int32), np.zeros(0, np.int32))]
+    at = np.nonzero(following[:n] < n)[0].astype(np.int32)
+    while len(at):
+        base = first + made
+        key = sym[at].astype(np.int64) * base + sym[following[at]]
+        if 2 * base.bit_length() + bits < 63:
+            key = (key << bits) | at
+            key.sort()
+            pos = (key & ((1 << bits) - 1)).astype(np.int32)
+            key >>= bits
+        else:
+            order = np.lexsort((at, key))
+            key, pos = key[order], at[order]
+        begin = np.nonzero(np.concatenate(([True], key[1:] != key[:-1])))[0]
+        size = np.diff(begin, append=len(key))
+        often = size >= least
+        pos, pair, size = pos[np.repeat(often, size)], key[begin[often]], size[often]
+        left, right = np.divmod(pair, base)
+        group = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        own = left == right
+        twice = overlaps(pos, group, own, following)
+        count = size - np.bincount(group[twice], minlength=len(size))
+        order = (count.astype(np.int64) << 32) | np.arange(len(size))
+        order.sort()
+        standing = np.empty(len(size), np.int32)
+        standing[order & 0xFFFFFFFF] = np.arange(1, len(size) + 1, dtype=np.int32)
+        standing[count < least] = 0
+
+        def above(p: np.ndarray, g: np.ndarray, out: np.ndarray) -> np.ndarray:
+            mine = standing[g]
+            mine[out] = 0
+            rank[p] = mine
+            take = np.nonzero(mine > np.maximum(rank[before[p]], rank[following[p]]))[0]
+            rank[p] = 0
+            return take
+
+        heads = above(pos, group, twice)
+        named = np.bincount(group[heads], minlength=len(size)) >= least
+        heads = heads[named[group[heads]]]
+        if not len(heads):
             break
-        made += len(a)
-        left.append(a)
-        right.append(b)
-    left, right = np.concatenate(left), np.concatenate(right)
-    lens = [1] * first
-    for a, b in zip(left.tolist(), right.tolist()):
-        lens.append(lens[a] + lens[b])
-    wide = 2 if first + made <= 65536 else 4
-    head = struct.pack(HEAD, b"RPR1", len(docs), made, first, wide, len(s))
+        taken, todo = [heads], None
+        while len(heads):
+            seen[pos[heads]] = seen[following[pos[heads]]] = True
+            if todo is None:
+                todo = np.nonzero(named[group] & ~seen[pos])[0]
+            todo = todo[~(seen[pos[todo]] | seen[following[pos[todo]]])]
+            p, g = pos[todo], group[todo]
+            heads = todo[above(p, g, overlaps(p, g, own, following))]
+            taken.append(heads)
+        heads = np.concatenate(taken)
+        p = pos[heads]
+        gone = following[p]
+        seen[p] = seen[gone] = False
+        sym[p] = (np.cumsum(named) + (base - 1)).astype(np.int32)[group[heads]]
+        following[p] = following[gone]
+        before[following[gone]] = p
+        before[n] = following[gone] = n
+        sym[gone] = -1
+        rules.append((left[named].astype(np.int32), right[named].astype(np.int32)))
+        made += len(rules[-1][0])
+        seen[p] = True
+        near = np.concatenate((np.delete(pos, heads), before[p]))
+        near = near[~seen[near]]
+        seen[p] = False
+        at = np.concatenate((p, near))
+        at = at[following[at] < n]
+        at = unique(at, seen)
+    lens = np.ones(first + made, np.int64)
+    k = first
+    for a, b in rules:
+        lens[k : k + len(a)] = lens[a] + lens[b]
+        k += len(a)
+    keep = np.nonzero(sym[:n] >= 0)[0]
+    return sym[keep], np.searchsorted(keep, ends), *map(np.concatenate, zip(*rules)), lens[first:]
+
+
+def overlaps(pos: np.ndarray, group: np.ndarray, own: np.ndarray, following: np.ndarray) -> np.ndarray:
+    """Which places to leave out because their pair overlaps itself: every other one of a run; ``pos`` ascends in each group, ``own`` marks groups of two equal symbols."""
+    at = np.nonzero(own[group])[0] if own.any() else np.zeros(0, np.int64)
+    p, k = pos[at], np.arange(len(at))
+    starts = np.ones(len(at), bool)
+    starts[1:] = following[p[:-1]] != p[1:]
+    return at[(k - np.maximum.accumulate(np.where(starts, k, 0))) % 2 == 1]
+
+
+def unique(at: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Distinct values of ``at``, in any order; ``seen`` is false there."""
+    if len(at) * 8 < len(seen):
+        return np.unique(at)
+    seen[at] = True
+    out = np.nonzero(seen[:-1])[0].astype(at.dtype)
+    seen[at] = False
+    return out
+
+
+def pack_bits(values: np.ndarray, bits: int) -> bytes:
+    """Numbers below ``2 ** bits``, 32 bits at most, without gaps; eight numbers take ``bits`` bytes, the last eight padded."""
+    v = np.zeros(-(-len(values) // 8) * 8, np.uint64)
+    v[: len(values)] = values
+    v = v.reshape(-1, 8)
+    out = np.zeros((len(v), bits + 8), np.uint8)
+    for j in range(8):
+        shifted = v[:, j] << np.uint64(j * bits % 8)
+        for k in range((bits + 14) // 8):
+            out[:, j * bits // 8 + k] |= (shifted >> np.uint64(8 * k)).astype(np.uint8)
+    return out[:, :bits].tobytes()
+
+
+def unpack_bits(raw: np.ndarray, bits: int, begin: int, end: int) -> np.ndarray:
+    """Numbers ``begin:end`` of what ``pack_bits`` gave; no other bytes are read."""
+    at = np.arange(begin, end, dtype=np.int64) * bits
+    byte, out = at >> 3, np.zeros(end - begin, np.int64)
+    for k in range((bits + 14) // 8):
+        out |= raw[np.minimum(byte + k, len(raw) - 1)].astype(np.int64) << (8 * k)
+    return (out >> (at & 7)) & ((1 << bits) - 1)
+
+
+def pack_shard(doc_ids: list[int | None], docs: list[np.ndarray], least: int = LEAST) -> bytes:
+    """The payload for documents of at least one id each."""
+    all_ids = np.concatenate(docs) if docs else np.zeros(0, np.uint32)
+    ends = np.cumsum([len(d) for d in docs], dtype=np.int64)
+    first = int(all_ids.max()) + 1 if len(all_ids) else 0
+    symbols, ends, left, right, lens = grammar(all_ids, ends, least)
+    bits = max(1, (first + len(left)).bit_length())
+    longest = int(lens.max()) if len(lens) else 0
+    wide = 2 if longest < 1 << 16 else 4 if longest < 1 << 32 else 8
+    head = struct.pack(HEAD, b"RPR2", len(docs), len(left), first, bits, wide, len(symbols))
     ids = np.array([0 if i is None else i for i in doc_ids], "<i8")
     nulls = np.array([i is None for i in doc_ids], np.uint8)
-    parts = [ids, nulls, (np.nonzero(last)[0] + 1).astype("<u8"), left.astype("<u4"), right.astype("<u4"), np.array(lens[first:], "<u4"), s.astype(f"<u{wide}")]
-    return head + b"".join(p.tobytes() for p in parts)
+    parts = [ids.tobytes(), nulls.tobytes(), ends.astype("<u8").tobytes(), *(pack_bits(x, bits) for x in (left, right, symbols)), lens.astype(f"<u{wide}").tobytes()]
+    return head + b"".join(parts)
 
 
 class Shard:
     """A reader of one payload."""
 
     def __init__(self, payload: bytes) -> None:
-        import struct
-
-        magic, n, rules, self.first, wide, symbols = struct.unpack_from(HEAD, payload)
-        if magic != b"RPR1":
+        magic, n, rules, self.first, self.bits, wide, self.size = struct.unpack_from(HEAD, payload)
+        if magic != b"RPR2":
             raise ValueError("not a Re-Pair shard")
         at = struct.calcsize(HEAD)
 
@@ -125,46 +207,43 @@ class Shard:
         ids, nulls = read("<i8", n), read("u1", n)
         self.doc_ids = [None if z else i for i, z in zip(ids.tolist(), nulls.tolist())]
         self.ends = read("<u8", n).astype(np.int64)
-        self.left, self.right, self.rule_lens = read("<u4", rules), read("<u4", rules), read("<u4", rules).astype(np.int64)
-        self.symbols = read(f"<u{wide}", symbols).astype(np.int64)
+        self.left, self.right = (unpack_bits(read("u1", -(-rules // 8) * self.bits), self.bits, 0, rules) for _ in range(2))
+        self.packed = read("u1", -(-self.size // 8) * self.bits)
+        self.rule_lens = read(f"<u{wide}", rules).astype(np.int64)
         self.lens = np.concatenate([np.ones(self.first, np.int64), self.rule_lens])
-        self._flat: tuple[np.ndarray, np.ndarray] | None = None
-
-    def expansions(self) -> tuple[np.ndarray, np.ndarray]:
-        """All symbols' ids in a row, and where each symbol's begin."""
-        if self._flat is None:
-            starts = np.concatenate([np.arange(self.first), self.first + np.cumsum(self.rule_lens) - self.rule_lens])
-            flat = np.empty(self.first + int(self.rule_lens.sum()), np.uint32)
-            flat[: self.first] = np.arange(self.first)
-            begin, size = starts.tolist(), self.lens.tolist()
-            for k, (a, b) in enumerate(zip(self.left.tolist(), self.right.tolist()), self.first):
-                x, y = begin[k], begin[k] + size[a]
-                flat[x:y] = flat[begin[a] : begin[a] + size[a]]
-                flat[y : y + size[b]] = flat[begin[b] : begin[b] + size[b]]
-            self._flat = flat, starts
-        return self._flat
+
+    def symbols(self, begin: int = 0, end: int | None = None) -> np.ndarray:
+        return unpack_bits(self.packed, self.bits, begin, self.size if end is None else end)
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        flat, starts = self.expansions()
+        """The ids of some symbols; nonterminals are replaced by their rules, all of a level at once."""
         lens = self.lens[symbols]
-        ends = np.cumsum(lens)
-        return flat[np.repeat(starts[symbols] - (ends - lens), lens) + np.arange(ends[-1] if len(ends) else 0)]
+        at = np.cumsum(lens) - lens
+        out = np.empty(int(lens.sum()), np.uint32)
+        while len(symbols):
+            leaf = symbols < self.first
+            out[at[leaf]] = symbols[leaf]
+            rule, at = symbols[~leaf] - self.first, at[~leaf]
+            left = self.left[rule]
+            symbols, at = np.concatenate([left, self.right[rule]]), np.concatenate([at, at + self.lens[left]])
+        return out
 
     def document(self, k: int) -> np.ndarray:
         """The ids of the shard's k-th document."""
-        return self.expand(self.symbols[self.ends[k - 1] if k else 0 : self.ends[k]])
+        return self.expand(self.symbols(int(self.ends[k - 1]) if k else 0, int(self.ends[k])))
 
     def range(self, k: int, start: int, stop: int) -> np.ndarray:
         """Ids ``start:stop`` of the k-th document; only the symbols that overlap the range are expanded."""
-        s = self.symbols[self.ends[k - 1] if k else 0 : self.ends[k]]
+        s = self.symbols(int(self.ends[k - 1]) if k else 0, int(self.ends[k]))
         ends = np.cumsum(self.lens[s])
         a, b = int(np.searchsorted(ends, start, "right")), int(np.searchsorted(ends, stop, "left")) + 1
         skip = int(ends[a - 1]) if a else 0
         return self.expand(s[a:b])[max(0, start - skip) : max(0, stop - skip)]
 
     def documents(self) -> Iterator[tuple[int | None, np.ndarray]]:
-        ids = self.expand(self.symbols)
-        lens = np.cumsum(self.lens[self.symbols])
+        symbols = self.symbols()
+        ids = self.expand(symbols)
+        lens = np.cumsum(self.lens[symbols])
         begin = 0
         for i, e in zip(self.doc_ids, self.ends.tolist()):
             end = int(lens[e - 1])
@@ -175,7 +254,7 @@ class Shard:
 SHARDS = "part int, shard int, part_start long, n_tokens long, n_docs long, payload binary"
 
 
-def write_shards(df: DataFrame, path: str, vocab: str, kind: str = "byte_level", end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = SHARD_TOKENS) -> None:
+def write_shards(df: DataFrame, path: str, vocab: str, kind: str = "byte_level", end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = SHARD_TOKENS, least: int = LEAST) -> None:
     """Encode every text, append ``end_id`` and write Re-Pair shards to ``path``, documents in ascending id order.
 
     Null and empty texts have the end id alone; null ids come first; rows with equal
@@ -193,7 +272,7 @@ def write_shards(df: DataFrame, path: str, vocab: str, kind: str = "byte_level",
         shard, before, held, ids, docs = 0, 0, 0, [], []
 
         def out() -> pa.RecordBatch:
-            row = {"part": part, "shard": shard, "part_start": before, "n_tokens": held, "n_docs": len(docs), "payload": pack_shard(ids, docs)}
+            row = {"part": part, "shard": shard, "part_start": before, "n_tokens": held, "n_docs": len(docs), "payload": pack_shard(ids, docs, least)}
             return pa.RecordBatch.from_pylist([row], schema=pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("part_start", pa.int64()), ("n_tokens", pa.int64()), ("n_docs", pa.int64()), ("payload", pa.binary())]))
 
         for b in batches:
@@ -215,7 +294,7 @@ def write_shards(df: DataFrame, path: str, vocab: str, kind: str = "byte_level",
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32, shard_bytes`` from the shards below ``path``; ``start`` counts the ids of all documents before."""
+    """``doc_id, start, n_tokens, ids_crc32`` from the shards below ``path``; ``start`` counts the ids of all documents before."""
     ship_package(spark)
     table = spark.read.schema(SHARDS).parquet(path)
 

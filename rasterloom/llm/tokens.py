@@ -11,25 +11,25 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import chain
 
 import numpy as np
 
-from rasterloom.llm.interning import Interner
+from rasterloom.llm.interning import Interner, segment_places, split_words
 
-#: Words kept by a worker unless told otherwise; beyond that it starts anew.
-KEPT_WORDS = 1_500_000
+#: Words, and bytes of all that is known of them, kept by a worker unless told otherwise; beyond either it starts anew.
+KEPT_WORDS, KEPT_BYTES = 1_000_000, 128 << 20
 #: Bytes of text that are split at a time.
 SLICE = 1 << 20
 #: White space whose splitting depends on more than the next character.
 WIDE_SPACE = re.compile(rb"[\t\r\x0b\x0c\x1c-\x1f]|  | \n|\n |\n\n\n|\n\n\Z|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 #: Any of these must be there for ``WIDE_SPACE`` to match.
 WIDE_BYTES = [b"\t", b"\r", b"\x0b", b"\x0c", b"\x1c", b"\x1d", b"\x1e", b"\x1f", b"  ", b" \n", b"\n ", b"\n\n", b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe1\xa0\x8e", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80"]
-#: Words of Latin letters alone, which both splitters leave whole and no normalisation but lower case changes.
-LETTERS = re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|\xc5[\x80-\xbf])+")
 #: What both vocabularies show for each byte: printable Latin-1 as it is, the others from U+0100 on in order.
 _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _OTHERS = [b for b in range(256) if b not in _PRINTED]
-SHOWN = {b: chr(0x100 + _OTHERS.index(b)) for b in _OTHERS}
+SHOWN = np.arange(256, dtype="<u4")
+SHOWN[_OTHERS] = 0x100 + np.arange(len(_OTHERS))
 #: Classes of bytes: ASCII letters 1, marks that may follow one 2, ASCII white space 4.
 CLASS = np.zeros(256, np.uint8)
 CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
@@ -40,7 +40,7 @@ _ENCODERS: dict[tuple, Encoder] = {}
 
 
 class Encoder:
-    """Ids by the tokenizers library, ``add_special_tokens=False``; strings of special tokens are ordinary text.
+    """Ids by the tokenizers library, ``add_special_tokens=False``; strings of special tokens are ordinary text, and bytes that are not UTF-8 count as U+FFFD.
 
     ``byte_level``: words keep the space before them, line feeds stand alone.
     ``words``: white space is dropped and case ignored, so neither matters.
@@ -56,6 +56,8 @@ class Encoder:
         self.letters.pre_tokenizer = pre_tokenizers.Split(Regex("!"), "isolated")
         if self.lower:
             self.letters.normalizer = normalizers.Sequence([])
+        if hasattr(self.letters.model, "_resize_cache"):
+            self.letters.model._resize_cache(0)  # only new words come here
         self.mark = self.letters.encode("!", add_special_tokens=False).ids[0]
         self.words, self.kept = Interner(), kept or KEPT_WORDS
         self.reset()
@@ -63,41 +65,49 @@ class Encoder:
     def reset(self) -> None:
         self.words.reset()
         self.count, self.used = 0, 0
-        self.starts, self.lens, self.flat = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.uint32)
+        self.starts, self.lens, self.flat = np.zeros(1024, np.int64), np.zeros(1024, np.int32), np.zeros(4096, np.uint32)
 
     def whole(self, text: bytes) -> np.ndarray:
-        return np.array(self.tok.encode(text.decode(), add_special_tokens=False).ids, np.uint32)
+        return np.array(self.tok.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32)
 
-    def learn(self, words: list[bytes]) -> None:
+    def learn(self, packed: np.ndarray, lens: np.ndarray) -> None:
         """Encode new words: those of letters in one text, others one by one."""
-        ids: list[np.ndarray] = [None] * len(words)
-        plain = [LETTERS.fullmatch(w) is not None for w in words]
-        odd = [i for i, ok in enumerate(plain) if not ok]
-        if odd:
-            for i, e in zip(odd, self.tok.encode_batch_fast([words[i].decode() for i in odd], add_special_tokens=False)):
-                ids[i] = np.array(e.ids, np.uint32)
-        even = [i for i, ok in enumerate(plain) if ok]
-        if even:
-            text = b"!".join(words[i].strip() if self.lower else words[i] for i in even) + b"!"
-            text = (text.decode().lower().encode() if self.lower else text).decode("latin-1").translate(SHOWN)
-            got = np.array(self.letters.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
-            begin = 0
-            for i, end in zip(even, np.nonzero(got == self.mark)[0].tolist()):
-                ids[i] = got[begin:end]
-                begin = end + 1
-        n, size, lens = self.count, self.count + len(words), np.fromiter(map(len, ids), np.int64, len(ids))
-        total = int(lens.sum())
+        ends = np.cumsum(lens)
+        plain = letters_only(packed, ends - lens)
+        n, size = self.count, self.count + len(lens)
         while size > len(self.starts):
             self.starts, self.lens = np.concatenate([self.starts, self.starts]), np.concatenate([self.lens, self.lens])
-        while self.used + total > len(self.flat):
+        odd = np.nonzero(~plain)[0]
+        if len(odd):
+            words = split_words(packed[segment_places((ends - lens)[odd], lens[odd])], lens[odd])
+            ids = [e.ids for e in self.tok.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
+            self._keep(n + odd, np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids)))
+        even = np.nonzero(plain)[0]
+        if len(even):
+            word = np.repeat(np.arange(len(even)), lens[even])
+            of = packed[segment_places((ends - lens)[even], lens[even])]
+            if self.lower:
+                word, of = word[of != 32], of[of != 32]
+            marked = np.full(len(of) + len(even), 33, np.uint8)
+            marked[np.arange(len(of)) + word] = of
+            if self.lower:
+                marked = np.frombuffer(marked.tobytes().decode().lower().encode(), np.uint8)
+            text = SHOWN[marked].tobytes().decode("utf-32-le")
+            got = np.array(self.letters.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            marks = np.nonzero(got == self.mark)[0]
+            self._keep(n + even, got[got != self.mark], np.diff(marks, prepend=-1) - 1)
+        self.count = size
+
+    def _keep(self, numbers: np.ndarray, ids: np.ndarray, lens: np.ndarray) -> None:
+        while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, self.flat])
-        self.flat[self.used : self.used + total] = np.concatenate(ids)
-        self.starts[n:size], self.lens[n:size] = self.used + np.cumsum(lens) - lens, lens
-        self.count, self.used = size, self.used + total
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.starts[numbers], self.lens[numbers] = self.used + np.cumsum(lens) - lens, lens
+        self.used += len(ids)
 
     def slice(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of texts that are not empty and have no wide white space."""
-        if self.count > self.kept:
+        if self.count > self.kept or self.words.nbytes + self.starts.nbytes + self.lens.nbytes + self.flat.nbytes > KEPT_BYTES:
             self.reset()
         raw = b"".join(texts)
         if self.lower and b"\xcc" not in raw and b"\xcd" not in raw:
@@ -149,6 +159,24 @@ class Encoder:
         return out
 
 
+def letters_only(packed: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Which words hold Latin letters alone, up to U+017F, after one space at most.
+
+    Both splitters leave such words whole, and no normalisation but lower case changes
+    them. Not letters are the signs of multiplication and division; the capital I with
+    a dot changes its length in lower case.
+    """
+    after = np.append(packed[1:], np.uint8(0))
+    pair = ((packed == 0xC3) & (after != 0x97) & (after != 0xB7)) | ((packed == 0xC4) & (after != 0xB0)) | (packed == 0xC5)
+    pair &= (after & 0xC0) == 0x80
+    good = (CLASS[packed] == 1) | pair
+    good[1:] |= pair[:-1]
+    space = starts[packed[starts] == 32]
+    space = space[np.append(starts[1:], len(packed))[np.searchsorted(starts, space)] > space + 1]
+    good[space] = True
+    return np.logical_and.reduceat(good, starts)
+
+
 def encoder(vocabulary: str, kind: str, kept: int | None = None) -> Encoder:
     """This worker's encoder for a vocabulary file's content."""
     key = (hashlib.sha256(vocabulary.encode()).digest(), kind, kept)

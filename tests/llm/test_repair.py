@@ -61,10 +61,61 @@ def test_shard_round_trip_and_random_access(top):
         a, b = sorted(rng.integers(0, len(docs[k]) + 1, 2).tolist())
         assert s.range(k, a, b).tolist() == docs[k][a:b].tolist()
     if top < 70000:
-        assert len(s.left) and len(s.symbols) < sum(map(len, docs))
+        assert len(s.left) and s.size < sum(map(len, docs))
         assert s.rule_lens.tolist() == [len(s.expand(np.array([s.first + r]))) for r in range(len(s.left))]
 
 
+def repeats(docs):
+    """How often each pair of neighbours occurs, without overlaps, by a plain walk."""
+    found = {}
+    for d in docs:
+        free = {}
+        for k, pair in enumerate(zip(d, d[1:])):
+            if free.get(pair, -1) <= k:
+                found[pair], free[pair] = found.get(pair, 0) + 1, k + 2
+    return found
+
+
+@pytest.mark.parametrize("least", [2, 3, 5])
+@pytest.mark.parametrize("top", [2, 30, 5000])
+def test_no_pair_is_left_that_repeats(top, least):
+    rng = np.random.default_rng(top)
+    docs = [np.append(rng.integers(0, top, rng.integers(0, 700)), 2).astype(np.uint32) for _ in range(40)]
+    docs += [np.full(777, 1, np.uint32), np.array([1], np.uint32), docs[0], docs[1], np.tile([1, 2, 1, 1], 99).astype(np.uint32)]
+    s = R.Shard(R.pack_shard(list(range(len(docs))), docs, least))
+    ends = [0, *s.ends.tolist()]
+    left = repeats([s.symbols(a, b).tolist() for a, b in zip(ends, ends[1:])])
+    assert max(left.values()) < least
+    assert max(repeats([d.tolist() for d in docs]).values()) >= least
+    # Every rule pays: its symbol occurs at least that often, in the text or in other rules.
+    used = np.bincount(np.concatenate([s.symbols(), s.left, s.right]), minlength=s.first + len(s.left))[s.first :]
+    assert used.min() >= 1 and len(np.unique(s.left * (s.first + len(s.left)) + s.right)) == len(s.left)
+
+
+def test_wide_keys_give_the_same(monkeypatch):
+    rng = np.random.default_rng(5)
+    ids, ends = rng.integers(0, 50, 4000).astype(np.uint32), np.array([100, 1500, 4000])
+    want = R.grammar(ids, ends)
+    spread = ids.astype(np.int64) * 40_000_000  # symbols so large that a pair and a place don't fit into one integer
+    got = R.grammar(spread, ends)
+    assert [len(x) for x in got] == [len(x) for x in want] and (got[4] == want[4]).all()
+
+
+@pytest.mark.parametrize("bits", [1, 7, 8, 17, 25, 32])
+def test_packed_bits(bits):
+    rng = np.random.default_rng(bits)
+    v = rng.integers(0, 1 << bits, 1003, dtype=np.int64)
+    raw = np.frombuffer(R.pack_bits(v, bits), np.uint8)
+    assert (R.unpack_bits(raw, bits, 0, 1003) == v).all() and (R.unpack_bits(raw, bits, 501, 777) == v[501:777]).all()
+    assert len(raw) == 126 * bits
+
+
+def test_invalid_utf8():
+    enc, t = K.Encoder(K.vocabulary("byte_bpe_50k.json"), "byte_level"), tok("byte_bpe_50k.json")
+    for raw in (b"ab\xff cd \xc3", b"\xc3\xc3\xa9 word\xe2\x82", b" \xc4", b"\xc5x"):
+        assert enc.encode([raw])[0].tolist() == t.encode(raw.decode("utf-8", "replace"), add_special_tokens=False).ids
+
+
 def test_table_matches_brute_force(spark, tmp_path):
     rng = random.Random(8)
     rows = [(7, None), (3, ""), (3, "b b"), (3, "b b"), (None, "null id"), (90, "long text " * 20000)]
