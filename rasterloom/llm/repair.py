@@ -52,18 +52,19 @@ def grammar(ids: np.ndarray, ends: np.ndarray, least: int = LEAST) -> tuple[np.n
     following[ends - 1] = following[n] = n
     before[ends[:-1]] = before[n] = n
     before[:1] = n
-    rank, seen = np.zeros(n + 1, np.int32), np.zeros(n + 1, bool)
+    rank, now, seen = np.zeros(n + 1, np.int32), np.zeros(n + 1, np.int32), np.zeros(n + 1, bool)
     seen[n] = True
     bits, made = n.bit_length(), 0
     rules = [(np.zeros(0, np.int32), np.zeros(0, np.int32))]
-    at = np.nonzero(following[:n] < n)[0].astype(np.int32)
+    at = np.nonzero(following[:n] < n)[0]
+    # Places stay in ascending order, so that all but the sort by pairs runs along memory.
     while len(at):
         base = first + made
         key = sym[at].astype(np.int64) * base + sym[following[at]]
         if 2 * base.bit_length() + bits < 63:
             key = (key << bits) | at
             key.sort()
-            pos = (key & ((1 << bits) - 1)).astype(np.int32)
+            pos = key & ((1 << bits) - 1)
             key >>= bits
         else:
             order = np.lexsort((at, key))
@@ -74,83 +75,73 @@ def grammar(ids: np.ndarray, ends: np.ndarray, least: int = LEAST) -> tuple[np.n
         pos, pair, size = pos[np.repeat(often, size)], key[begin[often]], size[often]
         left, right = np.divmod(pair, base)
         group = np.repeat(np.arange(len(size), dtype=np.int32), size)
-        own = left == right
-        twice = overlaps(pos, group, own, following)
+        twice = overlaps(pos, (left == right)[group], following)
         count = size - np.bincount(group[twice], minlength=len(size))
-        order = (count.astype(np.int64) << 32) | np.arange(len(size))
+        order = (count << 32) | np.arange(len(size))
         order.sort()
-        standing = np.empty(len(size), np.int32)
-        standing[order & 0xFFFFFFFF] = np.arange(1, len(size) + 1, dtype=np.int32)
+        order &= 0xFFFFFFFF
+        standing = np.zeros(len(size), np.int32)
+        standing[order] = np.arange(1, len(size) + 1, dtype=np.int32)
         standing[count < least] = 0
-
-        def above(p: np.ndarray, g: np.ndarray, out: np.ndarray) -> np.ndarray:
-            mine = standing[g]
-            mine[out] = 0
-            rank[p] = mine
-            take = np.nonzero(mine > np.maximum(rank[before[p]], rank[following[p]]))[0]
-            rank[p] = 0
-            return take
-
-        heads = above(pos, group, twice)
-        named = np.bincount(group[heads], minlength=len(size)) >= least
-        heads = heads[named[group[heads]]]
-        if not len(heads):
-            break
-        taken, todo = [heads], None
+        rank[pos] = standing[group]
+        rank[pos[twice]] *= -1
+        # From here on pairs go by their standing; it is negative where a pair overlaps itself.
+        r = rank[at]
+        live = r != 0
+        rank[at[~live]] = 0
+        at, r = at[live], r[live]
+        heads = at[r > np.maximum(np.maximum(rank[before[at]], rank[following[at]]), 0)]
+        used = np.bincount(rank[heads], minlength=len(size) + 1) >= least
+        heads = heads[used[rank[heads]]]
+        taken, todo, same = [heads], at[used[np.abs(r)]], np.append(False, (left == right)[order])
         while len(heads):
-            seen[pos[heads]] = seen[following[pos[heads]]] = True
-            if todo is None:
-                todo = np.nonzero(named[group] & ~seen[pos])[0]
-            todo = todo[~(seen[pos[todo]] | seen[following[pos[todo]]])]
-            p, g = pos[todo], group[todo]
-            heads = todo[above(p, g, overlaps(p, g, own, following))]
+            seen[heads] = seen[following[heads]] = True
+            todo = todo[~(seen[todo] | seen[following[todo]])]
+            r = np.abs(rank[todo])
+            r[overlaps(todo, same[r], following)] = 0
+            now[todo] = r
+            heads = todo[r > np.maximum(now[before[todo]], now[following[todo]])]
+            now[todo] = 0
             taken.append(heads)
         heads = np.concatenate(taken)
-        p = pos[heads]
-        gone = following[p]
-        seen[p] = seen[gone] = False
-        sym[p] = (np.cumsum(named) + (base - 1)).astype(np.int32)[group[heads]]
-        following[p] = following[gone]
-        before[following[gone]] = p
+        if not len(heads):
+            break
+        heads.sort()
+        gone = following[heads]
+        sym[heads] = (np.cumsum(used) + (base - 1)).astype(np.int32)[np.abs(rank[heads])]
+        rank[at] = 0
+        following[heads] = following[gone]
+        before[following[gone]] = heads
         before[n] = following[gone] = n
         sym[gone] = -1
-        rules.append((left[named].astype(np.int32), right[named].astype(np.int32)))
-        made += len(rules[-1][0])
-        seen[p] = True
-        near = np.concatenate((np.delete(pos, heads), before[p]))
+        chosen = order[used[1:]]
+        rules.append((left[chosen].astype(np.int32), right[chosen].astype(np.int32)))
+        made += len(chosen)
+        rest, near = at[~seen[at]], before[heads]
+        seen[rest] = True
         near = near[~seen[near]]
-        seen[p] = False
-        at = np.concatenate((p, near))
+        seen[rest] = seen[heads] = seen[gone] = False
+        at = np.concatenate((rest, heads, near))
         at = at[following[at] < n]
-        at = unique(at, seen)
-    lens = np.ones(first + made, np.int64)
-    k = first
-    for a, b in rules:
-        lens[k : k + len(a)] = lens[a] + lens[b]
-        k += len(a)
+        at.sort()
+    lens, k = np.ones(made, np.int64), 0
+    for pair in rules:
+        lens[k : k + len(pair[0])] = sum(np.where(x < first, 1, lens[np.maximum(x - first, 0)]) for x in pair)
+        k += len(pair[0])
     keep = np.nonzero(sym[:n] >= 0)[0]
-    return sym[keep], np.searchsorted(keep, ends), *map(np.concatenate, zip(*rules)), lens[first:]
+    return sym[keep], np.searchsorted(keep, ends), *map(np.concatenate, zip(*rules)), lens
 
 
-def overlaps(pos: np.ndarray, group: np.ndarray, own: np.ndarray, following: np.ndarray) -> np.ndarray:
-    """Which places to leave out because their pair overlaps itself: every other one of a run; ``pos`` ascends in each group, ``own`` marks groups of two equal symbols."""
-    at = np.nonzero(own[group])[0] if own.any() else np.zeros(0, np.int64)
+def overlaps(pos: np.ndarray, own: np.ndarray, following: np.ndarray) -> np.ndarray:
+    """Which places to leave out because their pair overlaps itself: every other one of a run. ``own`` marks pairs of equal symbols; the places of one run ascend without others between."""
+    at = np.nonzero(own)[0]
+    if not len(at):
+        return at
     p, k = pos[at], np.arange(len(at))
-    starts = np.ones(len(at), bool)
-    starts[1:] = following[p[:-1]] != p[1:]
+    starts = np.concatenate(([True], following[p[:-1]] != p[1:]))
     return at[(k - np.maximum.accumulate(np.where(starts, k, 0))) % 2 == 1]
 
 
-def unique(at: np.ndarray, seen: np.ndarray) -> np.ndarray:
-    """Distinct values of ``at``, in any order; ``seen`` is false there."""
-    if len(at) * 8 < len(seen):
-        return np.unique(at)
-    seen[at] = True
-    out = np.nonzero(seen[:-1])[0].astype(at.dtype)
-    seen[at] = False
-    return out
-
-
 def pack_bits(values: np.ndarray, bits: int) -> bytes:
     """Numbers below ``2 ** bits``, 32 bits at most, without gaps; eight numbers take ``bits`` bytes, the last eight padded."""
     v = np.zeros(-(-len(values) // 8) * 8, np.uint64)

@@ -23,8 +23,11 @@ KEPT_WORDS, KEPT_BYTES = 1_000_000, 128 << 20
 SLICE = 1 << 20
 #: White space whose splitting depends on more than the next character.
 WIDE_SPACE = re.compile(rb"[\t\r\x0b\x0c\x1c-\x1f]|  | \n|\n |\n\n\n|\n\n\Z|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
-#: Any of these must be there for ``WIDE_SPACE`` to match.
-WIDE_BYTES = [b"\t", b"\r", b"\x0b", b"\x0c", b"\x1c", b"\x1d", b"\x1e", b"\x1f", b"  ", b" \n", b"\n ", b"\n\n", b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe1\xa0\x8e", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80"]
+#: Bytes of which ``WIDE_SPACE`` always holds one (1), two next to each other (2), or one with another one after it (4).
+HINT = np.zeros(256, np.uint8)
+HINT[list(b"\t\r\x0b\x0c\x1c\x1d\x1e\x1f")], HINT[list(b" \n")], HINT[[0xC2, 0xE1, 0xE2, 0xE3]] = 1, 2, 4
+AFTER = np.zeros(256, bool)
+AFTER[[0x80, 0x81, 0x85, 0x9A, 0xA0]] = True
 #: What both vocabularies show for each byte: printable Latin-1 as it is, the others from U+0100 on in order.
 _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _OTHERS = [b for b in range(256) if b not in _PRINTED]
@@ -139,7 +142,7 @@ class Encoder:
         todo, size = [], 0
 
         def run() -> None:
-            if not self.lower and any(w in every for every in [b"a".join(texts[i] for i in todo)] for w in WIDE_BYTES):
+            if not self.lower and maybe_wide(b"a".join(texts[i] for i in todo)):
                 for i in [i for i in todo if WIDE_SPACE.search(texts[i])]:
                     out[i] = self.whole(texts[i])
                     todo.remove(i)
@@ -159,6 +162,16 @@ class Encoder:
         return out
 
 
+def maybe_wide(raw: bytes) -> bool:
+    """False only where ``WIDE_SPACE`` matches nowhere."""
+    data = np.frombuffer(raw, np.uint8)
+    hint = HINT[data]
+    if (hint == 1).any() or ((hint[1:] == 2) & (hint[:-1] == 2)).any():
+        return True
+    lead = np.nonzero(hint == 4)[0]
+    return bool(AFTER[data[np.minimum(lead + 1, len(data) - 1)]].any())
+
+
 def letters_only(packed: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Which words hold Latin letters alone, up to U+017F, after one space at most.
 
