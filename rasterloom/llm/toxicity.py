@@ -1,11 +1,14 @@
 """Toxicity by compression distance with zstandard dictionaries.
 
-Two dictionaries are built from labelled text. That of ordinary text holds a dictionary
-trained on ordinary windows and the ordinary windows that look toxic otherwise. That of
-toxic text holds the same and the passages by which toxic text differs: words that occur
-in many unrelated toxic texts and hardly in others. A window that the second compresses
-better is evidence for toxicity; how much, is learned for each difference of lengths.
-A text's evidence is summed and calibrated to a probability.
+Both dictionaries come from zstandard's trainer. That of ordinary text is trained on
+ordinary windows, and holds the ordinary windows besides that look toxic otherwise. That
+of toxic text holds the same, so that ordinary text compresses alike, and a part trained
+on toxic spans. Which spans of a toxic text are toxic isn't labelled: they are the words
+met in many unrelated toxic texts and hardly in others, by a likelihood ratio test. (The
+README has the figures of dictionaries trained on all windows of toxic texts.) A window
+that the second dictionary compresses better is evidence for toxicity; how much, is
+learned for each difference of lengths. A text's evidence is summed and calibrated to a
+probability; both on a quarter of the labelled texts that trained neither dictionary.
 """
 
 from __future__ import annotations
@@ -26,11 +29,18 @@ from pyspark.sql import functions as F
 from rasterloom.llm.common import bucket, documents, first_by_hash, ship_package, text_of
 
 WINDOW_WORDS, LEVEL = 4, 3
-BASE_BYTES, HARD_BYTES, HARD_ROUNDS, HARD_GAIN = 16_384, 32_768, 5, 2
+#: Sizes of the trained parts; ordinary windows are added in so many rounds, those alone that gain so many bytes.
+BASE_BYTES, TOXIC_BYTES, HARD_BYTES, HARD_ROUNDS, HARD_GAIN = 16_384, 4096, 32_768, 5, 2
+#: The trainer takes this many ordinary windows at most, drawn at random.
+TRAIN_WINDOWS = 60_000
 #: The dictionaries are fitted on this many labelled documents of each class at most, chosen by a hash of their id.
 SAMPLE_DOCS = 2500
-#: A toxic passage's least likelihood ratio and least ratio of rates, and the most passages.
-LEAST_RATIO, LEAST_RATE, PASSAGES = 30.0, 4.0, 400
+#: A toxic word's least likelihood ratio, and the least ratio of its rates in both classes.
+LEAST_RATIO, LEAST_RATE = 30.0, 4.0
+#: One labelled text in so many calibrates; the others train.
+CALIBRATE = 4
+#: The trainer's length of a segment and of what it counts.
+COVER = (50, 6)
 LOW, HIGH = -1, 12
 THRESHOLD = 0.7
 _LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -96,8 +106,8 @@ def families(texts: list[str]) -> list[int]:
     return [find(i) for i in range(len(texts))]
 
 
-def passages(toxic: list[str], ordinary: list[str]) -> list[bytes]:
-    """Words of many families of toxic texts and few of ordinary ones, the most telling first."""
+def telling(toxic: list[str], ordinary: list[str]) -> set[bytes]:
+    """Words of many families of toxic texts and few of ordinary ones."""
 
     def counted(texts: list[str]) -> tuple[dict[bytes, int], int]:
         of, groups = defaultdict(set), families(texts)
@@ -112,15 +122,48 @@ def passages(toxic: list[str], ordinary: list[str]) -> list[bytes]:
     def fit(k: int, n: int, p: float) -> float:
         return (k * math.log(p) if k else 0.0) + ((n - k) * math.log(1 - p) if n > k else 0.0)
 
-    found = []
+    found = set()
     for w, a in a_of.items():
         b = b_of.get(w, 0)
         if na and nb and a / na >= LEAST_RATE * (b + 0.5) / nb:
             p = (a + b) / (na + nb)
             ratio = 2 * (fit(a, na, a / na) + fit(b, nb, b / nb) - fit(a, na, p) - fit(b, nb, p))
             if ratio >= LEAST_RATIO:
-                found.append((-ratio, w))
-    return [w for _, w in sorted(found)[:PASSAGES]]
+                found.add(w)
+    return found
+
+
+def spans(texts: list[str], words: set[bytes]) -> list[bytes]:
+    """Every place of one of ``words`` in the texts, with the spaces around it."""
+    return [b" " + w + b" " for t in texts for w in (t or "").encode("utf-8", "replace").translate(_LETTERS).split() if w in words]
+
+
+def dictionary(samples: list[bytes], size: int) -> bytes:
+    """What zstandard's trainer makes of the samples; where they are too few for it, the distinct ones in a row."""
+    if not samples:
+        return b""
+    try:
+        return zstandard.train_dictionary(size, samples, k=COVER[0], d=COVER[1]).as_bytes()
+    except zstandard.ZstdError:
+        return b"".join(dict.fromkeys(samples))[:size]
+
+
+def trained(samples: list[bytes], size: int) -> bytes:
+    """Dictionaries in a row, ``size`` bytes at most: each is trained on the samples that those before it don't hold.
+
+    Samples that the trainer leaves out every time, as it does with few short ones, are
+    put in a row.
+    """
+    out = b""
+    while samples and len(out) < size:
+        room = size - len(out)
+        more = dictionary(samples, room) if room >= 256 else b""
+        rest = [w for w in samples if w not in more]
+        if len(rest) == len(samples):
+            more, rest = b"".join(dict.fromkeys(samples))[:room], []
+        # What a match costs grows with its distance, so that the first, most frequent part stands last.
+        out, samples = more + out, rest
+    return out
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -140,31 +183,29 @@ def fit(toxic: list[str], ordinary: list[str], share: float, seed: int = 11) ->
     if not toxic or not ordinary:
         return Model(b"", b"", np.zeros(HIGH - LOW + 1), np.array([0.0]), np.array([share]))
     rng = random.Random(seed)
-    told = b"".join(b" " + w + b" " for w in reversed(passages(toxic, ordinary)))
-    plain = [w for t in ordinary for w in windows(t)]
-    rng.shuffle(plain)
-    try:
-        base = zstandard.train_dictionary(BASE_BYTES, plain[:60_000]).as_bytes()
-    except zstandard.ZstdError:  # too little text to train on
-        base = b"".join(plain)[:BASE_BYTES]
+    learn = [[t for k, t in enumerate(texts) if k % CALIBRATE] for texts in (toxic, ordinary)]
+    check = [texts[::CALIBRATE] for texts in (toxic, ordinary)]
+    told = trained(spans(learn[0], telling(*learn)), TOXIC_BYTES)
+    plain = [w for t in learn[1] for w in windows(t)]
+    base = dictionary(rng.sample(plain, min(len(plain), TRAIN_WINDOWS)), BASE_BYTES)
     hard, none = b"", np.zeros(HIGH - LOW + 1)
-    fold = ordinary[: max(1, len(ordinary) // 2)]
     for _ in range(HARD_ROUNDS if told else 0):
         m = Model(base + hard, base + hard + told, none, none, none)
         seen = Counter()
-        for t in fold:
+        for t in learn[1]:
             for w, d in zip(windows(t), m.differences(t).tolist()):
                 if d + LOW >= HARD_GAIN:
                     seen[w] = d
+        if not seen:
+            break
         hard += b"".join(w for w, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0])))[:HARD_BYTES]
     m = Model(base + hard, base + hard + told, none, none, none)
-    rest = ordinary[len(fold) :] or fold
-    counts = [[np.bincount(m.differences(t), minlength=HIGH - LOW + 1) for t in texts] for texts in (toxic, rest)]
+    counts = [[np.bincount(m.differences(t), minlength=HIGH - LOW + 1) for t in texts] for texts in check]
     a, b = (np.sum(c, axis=0) + 1.0 for c in counts)
     m.evidence = np.log(a / a.sum()) - np.log(b / b.sum())
     x = np.array([c @ m.evidence for part in counts for c in part])
-    y = np.repeat([1.0, 0.0], [len(toxic), len(rest)])
-    weight = np.repeat([share / len(toxic), (1 - share) / len(rest)], [len(toxic), len(rest)])
+    y = np.repeat([1.0, 0.0], [len(c) for c in counts])
+    weight = np.repeat([share / len(counts[0]), (1 - share) / len(counts[1])], [len(c) for c in counts])
     m.sums, m.scores = isotonic(x, y, weight)
     # A slight slope keeps the order of texts within a level.
     m.scores = np.clip(m.scores * 0.98 + 0.02 * np.arange(len(m.scores)) / max(1, len(m.scores) - 1), 0, 1)
@@ -185,7 +226,11 @@ def train(df: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
 
 
 def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, score`` for every row, whole texts, null counting as empty; other columns are not read."""
+    """``doc_id, score`` for every row, whole texts however long; other columns are not read.
+
+    Null counts as empty, and such texts get the score of no evidence; repeated rows and
+    equal texts get equal scores, an empty table none.
+    """
     ship_package(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
 

@@ -42,11 +42,46 @@ def test_isotonic_is_the_best_monotone_fit():
     x, w = rng.permutation(40).astype(float), rng.random(40) + 0.1
     y = (rng.random(40) < x / 40).astype(float)
     px, py = T.isotonic(x, y, w)
-    assert (np.diff(py) > 0).all() and (np.diff(px) > 0).all()
+    # The best monotone fit at a point is the largest of the least means over ranges that end and begin there.
+    order = np.argsort(x)
+    y, w = y[order], w[order]
+    mean = lambda a, b: np.average(y[a : b + 1], weights=w[a : b + 1])
+    best = [max(min(mean(a, b) for b in range(i, 40)) for a in range(i + 1)) for i in range(40)]
+    assert np.allclose(py, sorted({round(v, 12) for v in best}))
+    assert (np.diff(px) > 0).all()
 
 
-def test_copies_of_one_text_make_no_passage():
+def test_copies_of_one_text_make_no_word_telling():
     rng = random.Random(6)
     one = text(rng, False) + " oddword"
-    found = T.passages([text(rng, True) for _ in range(60)] + [one] * 40, [text(rng, False) for _ in range(100)])
-    assert set(found) == {b"grumpf", b"zwickel", b"quaxo"}
+    found = T.telling([text(rng, True) for _ in range(60)] + [one] * 40, [text(rng, False) for _ in range(100)])
+    assert found == {b"grumpf", b"zwickel", b"quaxo"}
+
+
+def test_scores_match_plain_compression():
+    """Window by window with the zstandard calls themselves, from the model's dictionaries on."""
+    import zstandard
+
+    rng = random.Random(9)
+    toxic, ordinary = [text(rng, True) for _ in range(80)], [text(rng, False) for _ in range(160)]
+    m = T.fit(toxic, ordinary, 0.3)
+    assert m.toxic.startswith(m.ordinary) and len(m.toxic) > len(m.ordinary)
+
+    def size(window, content):
+        d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return len(zstandard.ZstdCompressor(level=T.LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False).compress(window))
+
+    for t in toxic[:8] + ordinary[:8] + ["", None, "GRUMPF, grumpf! 12"]:
+        words = "".join(c.lower() if c.isalpha() else " " for c in t or "").split()
+        total = 0.0
+        for at in range(0, len(words), 4):
+            w = (" " + " ".join(words[at : at + 4]) + " ").encode()
+            total += m.evidence[min(12, max(-1, size(w, m.ordinary) - size(w, m.toxic))) + 1]
+        assert np.isclose(total, m.total(t)) and np.isclose(m.score(t), np.interp(total, m.sums, m.scores))
+
+
+def test_calibration_leaves_training_texts_out(monkeypatch):
+    seen = []
+    monkeypatch.setattr(T, "telling", lambda a, b: seen.append((a, b)) or set())
+    T.fit([f"t{i}" for i in range(9)], [f"o{i}" for i in range(9)], 0.5)
+    assert seen == [([f"t{i}" for i in range(9) if i % 4], [f"o{i}" for i in range(9) if i % 4])]
