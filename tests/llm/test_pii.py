@@ -103,6 +103,41 @@ def test_candidates_add_what_the_rules_drop(spark):
     assert all(got[i].n_added == 0 for i in range(400))
 
 
+def test_added_spans_by_precision_and_recall(spark):
+    """Planted forms that no base rule finds, among decoys of the same forms."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("aeiolmnrst") for _ in range(rng.randrange(3, 9)))
+
+    def card():
+        d = "5" + "".join(rng.choice("0123456789") for _ in range(14))
+        return next(d + c for c in "0123456789" if luhn(d + c))
+
+    def forms():
+        d, a, b = card(), word(), word()
+        area, last = rng.randrange(200, 999), rng.randrange(1000, 9999)
+        ip = [str(rng.randrange(256)) for _ in range(4)]
+        plain = [f"{a}@{b}.org", ".".join(ip), d, f"+1 ({area}) 555-{last}"]
+        other = [f"{a} [at] {b} [dot] com", "[.]".join(ip), ".".join(d[i : i + 4] for i in range(0, 16, 4)), f"({area}) 555-{last}"]
+        return plain, other, d
+
+    rows, want = [], {}
+    for i in range(600):
+        plain, other, d = forms()
+        k, before = i % 4, " ".join(word() for _ in range(6)) + " "
+        if i < 400:
+            rows.append((i, before + plain[k] + " " + word()))
+        elif i < 500:
+            rows.append((i, before + other[k] + " " + word()))
+            want[i] = f"{list(RULES)[k]}:{len(before)}:{len(before) + len(other[k])}"
+        else:
+            x = "order no. " + other[k] if k in (0, 3) else ["", "300[.]1[.]2[.]3", ".".join([d[:4], d[4:8], d[8:12], d[12:15] + str((int(d[15]) + 5) % 10)])][k]
+            rows.append((i, before + x + " " + word()))
+    got = {r.doc_id: r for r in check(spark, rows)}
+    hits = sum(got[i].spans == s for i, s in want.items())
+    added = sum(r.n_added for r in got.values())
+    assert hits >= 0.9 * len(want) and hits >= 0.9 * added, (hits, added)
+
+
 def test_trees_as_columns(spark):
     rng = np.random.default_rng(1)
     x = np.column_stack([rng.integers(0, 4, 300)] + [rng.integers(0, 6, 300) for _ in P.FEATURES[1:]])
