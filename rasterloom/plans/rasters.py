@@ -140,7 +140,7 @@ def average(spark, d):
 
 
 def mosaic(spark, d):
-    x = T.table(spark, d, "lineitem").where("l_orderkey < 4000")
+    x = T.table(spark, d, "lineitem")
     tiles = x.groupBy((F.col("l_orderkey") % 3).cast("string").alias("event"), (F.col("l_suppkey") % 5).alias("ord"), (F.col("l_partkey") % 16).cast("int").alias("row"), (F.col("l_linenumber") % 16).cast("int").alias("col")).agg(F.max(F.when(F.col("l_discount") > 0.03, F.col("l_extendedprice"))).alias("value"))
     return R.mosaic(tiles).select("event", "row", "col", F.round("value", 6).alias("value"))
 
@@ -262,7 +262,7 @@ QUERIES = {
  SELECT t.event, CAST(r AS INTEGER) AS "row", CAST(c AS INTEGER) AS col, round(value, 6) AS value FROM t LEFT JOIN rs ON rs.event = t.event AND rs."row" = floor((r + 0.5) * 6.4) AND rs.col = floor((c + 0.5) * 6.4)"""),
     "resample_average": (average, f"""WITH {T.RS}, a AS (SELECT *, unnest(range(CAST(floor("row" / 6.4 + 1e-9) AS BIGINT), CAST(ceil(("row" + 1) / 6.4 - 1e-9) AS BIGINT))) AS trow FROM rs), b AS (SELECT *, unnest(range(CAST(floor(col / 6.4 + 1e-9) AS BIGINT), CAST(ceil((col + 1) / 6.4 - 1e-9) AS BIGINT))) AS tcol FROM a),
  w AS (SELECT *, ({_OVER.format(c="row")}) * ({_OVER.format(c="col")}) AS w FROM b) SELECT event, CAST(trow AS INTEGER) AS "row", CAST(tcol AS INTEGER) AS col, round(sum(value * w) FILTER (value IS NOT NULL) / sum(w) FILTER (value IS NOT NULL), 1) AS value FROM w GROUP BY 1, 2, 3"""),
-    "mosaic_first": (mosaic, """WITH t AS (SELECT CAST(l_orderkey % 3 AS VARCHAR) AS event, l_suppkey % 5 AS ord, CAST(l_partkey % 16 AS INTEGER) AS "row", CAST(l_linenumber % 16 AS INTEGER) AS col, max(CASE WHEN l_discount > 0.03 THEN l_extendedprice END) AS value FROM lineitem WHERE l_orderkey < 4000 GROUP BY 1, 2, 3, 4)
+    "mosaic_first": (mosaic, """WITH t AS (SELECT CAST(l_orderkey % 3 AS VARCHAR) AS event, l_suppkey % 5 AS ord, CAST(l_partkey % 16 AS INTEGER) AS "row", CAST(l_linenumber % 16 AS INTEGER) AS col, max(CASE WHEN l_discount > 0.03 THEN l_extendedprice END) AS value FROM lineitem GROUP BY 1, 2, 3, 4)
  SELECT event, "row", col, round(first(value ORDER BY ord) FILTER (value IS NOT NULL), 6) AS value FROM t GROUP BY 1, 2, 3"""),
     "resample_cubic": (cubic, None),
     "mask_areas": (areas, f"""WITH {T.RS}, m AS (SELECT event, CASE WHEN value > 30000 THEN 1 ELSE 0 END AS v, 0.01::DOUBLE * 111320 * cos(radians(CASE event WHEN 'F' THEN 10.0 ELSE 60.0 END - ("row" + 0.5) * 0.01::DOUBLE)) * (0.01::DOUBLE * 110540) / 1e6 AS a FROM rs)

@@ -60,7 +60,7 @@ def several(spark, d):
 
 def products(spark, d):
     """Pages built from events: two areas, of which some products have no link."""
-    e = T.table(spark, d, "events").where("event_id % 4 = 0")
+    e = T.table(spark, d, "events")
     k = F.col("event_id")
     prod = lambda kind, url, n: F.struct(F.lit(kind).alias("type"), (k % 3 == 0).alias("monitoring"), n.cast("int").alias("monitoringNumber"), url.alias("downloadPath"), F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("deliveryTime")).alias("version"))
     link = F.concat(F.lit("https://x.example/"), k.cast("string"), F.lit(".zip"))
@@ -152,7 +152,7 @@ QUERIES = {
  list_extract(['RapidEye', 'WorldView', 'Landsat'], CAST(o_orderkey % 3 + 1 AS BIGINT)) AS pre_sensor, '5' AS pre_gsd_m FROM orders"""),
     "sensor_normalize": (spelled, f"SELECT o_orderkey AS id, {_SPELL} AS name FROM orders"),
     "multi_sensor_split": (several, "SELECT o_orderkey AS id, 'MacDonald, Dettwiler and Associates RADARSAT-2 ' || CAST(o_orderkey AS VARCHAR) || '|Sentinel-1 x|Landsat-8' AS parts FROM orders"),
-    "json_products": (products, """WITH e AS (SELECT *, unnest([1, 2]) AS n FROM events WHERE event_id % 4 = 0), p AS (SELECT *, unnest(['DEL', 'REF']) AS kind FROM e)
+    "json_products": (products, """WITH e AS (SELECT *, unnest([1, 2]) AS n FROM events), p AS (SELECT *, unnest(['DEL', 'REF']) AS kind FROM e)
  SELECT 'EMSR' || CAST(event_id AS VARCHAR) AS code, 'AOI0' || CAST(n AS VARCHAR) AS aoi, 'Río_' || event_type || '_1' AS aoi_name,
  CASE WHEN kind = 'DEL' AND event_id % 3 = 0 AND event_id % 5 > 0 THEN 'DEL_MONIT0' || CAST(event_id % 5 AS VARCHAR) ELSE kind || '_PRODUCT' END AS product,
  'https://x.example/' || CAST(event_id AS VARCHAR) || '.zip' AS url, strftime(ts, '%Y%m%d') AS delivered FROM p WHERE kind = 'DEL' OR event_id % 8 = 0"""),

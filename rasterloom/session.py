@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -49,8 +50,10 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which all executors share; where that is unset (tests), a local one."""
+    """A fresh folder below ``spark.checkpoint.dir``, which all executors share; a session on one machine (tests) may leave that unset."""
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not base:
         base = getattr(work_dir, "own", None) or "file://" + tempfile.mkdtemp(prefix="rasterloom-")
         work_dir.own = base
