@@ -31,6 +31,21 @@ def widening(spark, d):
     return _rounded(out, "value", "coverage")
 
 
+def widening_events(spark, d):
+    obs, pixels = (T.of_each_event(x) for x in (C.radar(T.acquisitions(spark, d)), T.pixels(spark, d)))
+    return _rounded(C.widening(obs, pixels, T.event_days(spark), ["value"], (1, 2, 5, 15), 90.0), "value", "coverage")
+
+
+def relaxing_events(spark, d):
+    obs, pixels = (T.of_each_event(x) for x in (T.acquisitions(spark, d), T.pixels(spark, d)))
+    return _rounded(C.relaxing(obs, pixels, T.event_days(spark), ["value"], (3, 6, 12, 40), 8, 95.0, seasonal=False), "value", "coverage")
+
+
+def rain_events(spark, d):
+    x = C.rain(T.of_each_event(T.acquisitions(spark, d)), T.of_each_event(T.pixels(spark, d)), T.event_days(spark), 12)
+    return x.select("event", "pixel", F.posexplode("series").alias("k", "v")).select("event", "pixel", "k", F.round("v", 6).alias("v"))
+
+
 def relaxing(spark, d):
     out = C.relaxing(T.acquisitions(spark, d), T.pixels(spark, d), _day(), ["value"], (3, 6, 12, 40), 8, 95.0, seasonal=False)
     return _rounded(out, "value", "coverage")
@@ -243,6 +258,9 @@ QUERIES = {
     "composite_cloud_relax": (relaxing, _RELAX + ", false AS uses_future FROM wd CROSS JOIN dc"),
     "index_ndvi": (indices, f"""WITH {T.AQ}, x AS (SELECT pixel, median(value) FILTER (mode = 'IW') AS a, median(value) FILTER (cloud_pct < 50) AS b FROM aq GROUP BY 1) SELECT pixel, round((a - b) / nullif(a + b, 0), 6) AS nd, round(coalesce(a, b), 6) AS filled FROM x"""),
     "coverage_pct": (covered, f"WITH {T.AQ}, {T.PX}, x AS (SELECT pixel, max(value) AS v FROM aq WHERE cloud_pct < 2 GROUP BY 1) SELECT round(100.0 * sum(CASE WHEN v IS NOT NULL THEN area ELSE 0 END) / sum(area), 6) AS pct FROM px LEFT JOIN x USING (pixel)"),
+    "composite_widening_events": (widening_events, T.sql_of_each_event(_WIDE + " FROM wd CROSS JOIN dc")),
+    "composite_relax_events": (relaxing_events, T.sql_of_each_event(_RELAX + ", false AS uses_future FROM wd CROSS JOIN dc")),
+    "daily_series_events": (rain_events, T.sql_of_each_event(_series_sql("sum(value) * 0.5"))),
     "daily_series": (daily_rain, _series_sql("sum(value) * 0.5")),
     "daily_first": (daily_moisture, _series_sql("first(value ORDER BY ts, value)")),
     "open_water": (water, "SELECT o_orderkey AS id, CASE WHEN o_orderkey % 4 * 40 = 80 THEN 1 ELSE 0 END AS water FROM orders"),

@@ -98,6 +98,21 @@ def pixels(spark: SparkSession, d: str) -> DataFrame:
 PX = "px AS (SELECT DISTINCT pixel, CAST(1 + pixel % 7 AS DOUBLE) AS area FROM aq)"
 #: The event's day for series and composites; the observations are of the days around it.
 EVENT_DAY = "2024-01-20"
+#: Days of many events, which share the observations.
+EVENT_DAYS = {"A": "2024-01-20", "B": "2024-01-11", "C": "2024-01-28"}
+
+
+def event_days(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(EVENT_DAYS.items()), "event string, day string").withColumn("day", F.to_date("day"))
+
+
+def of_each_event(df: DataFrame) -> DataFrame:
+    return df.withColumn("event", F.explode(F.array(*map(F.lit, EVENT_DAYS))))
+
+
+def sql_of_each_event(sql: str) -> str:
+    """A query about the one event, for each event."""
+    return " UNION ALL ".join(f"SELECT '{e}' AS event, x.* FROM ({sql.replace(EVENT_DAY, day)}) AS x" for e, day in EVENT_DAYS.items())
 
 
 def raster(spark: SparkSession, d: str) -> DataFrame:

@@ -168,3 +168,23 @@ def test_series_leave_the_event_out(spark):
     event = F.to_date(F.lit("2020-02-01"))
     assert {r.pixel: r.series for r in C.rain(obs, pixels, event, 3).collect()} == {1: [0.5, 9999.0, 3.0], 2: [9999.0] * 3}
     assert {r.pixel: r.series for r in C.moisture(obs, pixels, event, 3).collect()}[1] == [1.0, 9999.0, 2.0]
+
+
+def test_composites_of_many_events_are_those_of_each(spark):
+    from rasterloom.operators import composites as C
+
+    rng = np.random.default_rng(11)
+    days = {"A": "2024-03-10", "B": "2024-02-20", "C": "2023-06-01"}
+    rows = [(e, int(p), f"202{int(y)}-0{int(m)}-{int(d):02d} 05:00:00", int(c), float(v)) for e in days for p, y, m, d, c, v in zip(rng.integers(0, 12, 90), rng.integers(2, 5, 90), rng.integers(1, 7, 90), rng.integers(1, 29, 90), rng.integers(0, 100, 90), rng.random(90))]
+    obs = spark.createDataFrame(rows, "event string, pixel int, ts string, cloud_pct int, value double").withColumn("ts", F.to_timestamp("ts"))
+    pixels = spark.createDataFrame([(e, p, 1.0 + p % 3) for e in days for p in range(14)], "event string, pixel int, area double")
+    events = spark.createDataFrame(list(days.items()), "event string, day string").withColumn("day", F.to_date("day"))
+    for run in (
+        lambda o, p, e: C.widening(o, p, e, ["value"], (5, 20, 60), 60.0),
+        lambda o, p, e: C.relaxing(o, p, e, ["value"], (30, 60, 100), 30, 80.0),
+        lambda o, p, e: C.relaxing(o, p, e, ["value"], (30, 60, 100), 30, 80.0, seasonal=False),
+        lambda o, p, e: C.rain(o, p, e, 20),
+    ):
+        got = sorted(map(tuple, run(obs, pixels, events).collect()), key=str)
+        want = [(e, *r) for e, d in days.items() for r in run(obs.where(F.col("event") == e).drop("event"), pixels.where(F.col("event") == e).drop("event"), F.to_date(F.lit(d))).collect()]
+        assert str(got) == str(sorted(want, key=str))
