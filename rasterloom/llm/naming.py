@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rasterloom.llm.common import documents, free_name, materialize, text_of
+from rasterloom.llm.common import documents, free_name, materialize, remove, text_of, work_dir
 
 BLOCK = 4096
 #: Blocks that occur this often are dealt over ``SALTS`` tasks; the ``HOT_BLOCKS`` most frequent are told to all tasks.
@@ -53,15 +53,20 @@ def name_blocks(df: DataFrame, id_col: str, text_col: str, size: int, rid_col: s
     return rows.drop("block").join(F.broadcast(one), "name", "left").withColumn("name", F.coalesce("one", "name")).drop("one")
 
 
-def name_pairs(segments: DataFrame) -> DataFrame:
-    """One level up: ``rid, i, o, name`` for each pair of neighbours; a last one without a neighbour is paired with -1."""
+def name_pairs(segments: DataFrame, path: str) -> DataFrame:
+    """One level up, written to ``path``: ``rid, i, o, name`` for each pair of neighbours; a last one without a neighbour is paired with -1."""
+    spark = segments.sparkSession
+    pairs_path, names_path = work_dir(spark), work_dir(spark)
     even = F.col("i") % 2 == 0
     pairs = segments.groupBy("rid", F.floor(F.col("i") / 2).alias("i")).agg(
         F.min("o").alias("o"), F.max(F.when(even, F.col("name"))).alias("l"), F.coalesce(F.max(F.when(~even, F.col("name"))), F.lit(-1)).alias("r")
     )
-    pairs = materialize(pairs)
-    names = materialize(pairs.groupBy("l", "r").agg(F.min("o").alias("name")))
-    return materialize(pairs.join(names, ["l", "r"]).select("rid", "i", "o", "name"))
+    pairs = materialize(pairs, pairs_path)
+    names = materialize(pairs.groupBy("l", "r").agg(F.min("o").alias("name")), names_path)
+    out = materialize(pairs.join(names, ["l", "r"]).select("rid", "i", "o", "name"), path)
+    remove(spark, pairs_path)
+    remove(spark, names_path)
+    return out
 
 
 def identities(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = BLOCK, rid_col: str | None = None) -> DataFrame:
@@ -69,16 +74,23 @@ def identities(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
 
     ``rid`` numbers the rows; it is ``rid_col`` if there is one.
     """
-    rows = materialize(name_blocks(df, id_col, text_col, size, rid_col))
+    rows = name_blocks(df, id_col, text_col, size, rid_col)
     firsts = rows.where("i = 0").select("rid", "doc_id", "n_cp", "sha", "n", "name")
     top = rows.agg(F.max("n")).first()[0] or 0
     if top < 2:
         return firsts
     level, width = rows.where("n > 1").select("rid", "i", "o", "name"), top
+    before = None
     while width > 1:
-        level, width = name_pairs(level), (width + 1) // 2
+        path = work_dir(df.sparkSession)
+        level, width = name_pairs(level, path), (width + 1) // 2
+        if before:
+            remove(df.sparkSession, before)
+        before = path
     whole = level.select("rid", F.col("name").alias("whole"))
-    return materialize(firsts.join(whole, "rid", "left").withColumn("name", F.coalesce("whole", "name")).drop("whole"))
+    out = materialize(firsts.join(whole, "rid", "left").withColumn("name", F.coalesce("whole", "name")).drop("whole"))
+    remove(df.sparkSession, before)
+    return out
 
 
 def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = BLOCK, rid_col: str | None = None) -> DataFrame:
