@@ -118,3 +118,31 @@ def test_stage_keeps_one_of_each_group(spark):
     # Five words of 300 replaced: similarity about 0.85.
     assert sorted(x for x in ids if x is not None) == sorted(want | {7, 9}) and ids.count(None) == 1
     assert S.drop_near(df.limit(0)).count() == 0
+
+
+def test_near_copies_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(S, "SET_CAP", 700)
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(900)]
+    rows = [(None, 0), ("", 0), (" \n", 0), ("one two", 0), ("One  two", 0), ("one two three", 0)]
+    for n in (8, 12, 30, 70, 200, 400):
+        for _ in range(6):
+            now = [rng.choice(words) for _ in range(n)]
+            for _ in range(7):
+                rows.append((" ".join(now), n))
+                # A chain: each text is near the one before it, at similarities around 0.8.
+                for _ in range(rng.choice((1, 1, 2, 3)) * max(1, n // 60)):
+                    now[rng.randrange(n)] = rng.choice(words)
+    texts = [t for t, _ in rows]
+    sets = []
+    for t in texts:
+        w = (t or "").lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)})
+    want = closure(range(len(texts)), lambda a, b: len(sets[a] & sets[b]) * 5 >= len(sets[a] | sets[b]) * 4)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    pairs = [(r.a, r.b) for r in S.near_pairs(df, "doc_id", "text").collect()]
+    assert all(len(sets[a] & sets[b]) * 5 >= len(sets[a] | sets[b]) * 4 for a, b in pairs)
+    both = set(pairs) | {(b, a) for a, b in pairs}
+    assert closure(range(len(texts)), lambda a, b: (a, b) in both) == want
+    assert sorted(r.doc_id for r in S.drop_near(df).collect()) == sorted(set(want.values()))
+    assert len(set(want.values())) < len(texts) - 20
