@@ -300,8 +300,10 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return fps.join(of, "fp").select(F.col("id").alias("doc_id"), F.col("fp").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-#: For pipelines: five-word shingles. Texts of Jaccard similarity 0.8 differ in 39 of 256 bits on average, with a deviation of 6; the radius is three deviations more.
-NEAR_WORDS, NEAR_BITS, NEAR_RADIUS = 5, 256, 57
+#: For pipelines: five-word shingles. Texts of Jaccard similarity 0.8 differ in 39 of 256 bits on average, with a deviation of 6, unrelated ones in 128 with one of 8.
+NEAR_WORDS, NEAR_BITS, NEAR_RADIUS = 5, 256, 50
+#: Where links are checked by shingle sets, candidates may differ in three deviations more than the average.
+CANDIDATE_RADIUS = 57
 #: Texts of so few different shingles that a fingerprint says little; a text of 48 shingles can be similar to one of 60 at most.
 FEW = 60
 #: Shards of shingle sets are split beyond this many shingles.
@@ -383,7 +385,7 @@ def near_pairs(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     classes = put(fps.groupBy("fp").agg(F.min("id").alias("node"), F.min("n").alias("n")))
     bands = near_bands(classes.count())
     copies = fps.join(classes.select("fp", "node"), "fp").where("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b"))
-    found = near_edges(classes, NEAR_RADIUS, NEAR_BITS, bands, True).unionByName(copies)
+    found = near_edges(classes, CANDIDATE_RADIUS, NEAR_BITS, bands, True).unionByName(copies)
     found = put(found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     few = classes.where(F.col("n") <= FEW).select("node")
     ends = found.select("a").union(found.select("b")).union(few).distinct().withColumnRenamed("a", id_col)
@@ -405,21 +407,28 @@ def near_pairs(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return good
 
 
-def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", exact: bool = False) -> DataFrame:
     """The rows of ``docs``, with all columns, of which one stays for each group of near copies: that of the smallest id.
 
-    Two texts are linked where their sets of five-word shingles have a Jaccard similarity
-    of 0.8 or more. Candidates come from SimHash; the radius is too wide for bits that must
-    agree, so shards are sampled bits, in as many tables as leave a pair at just 0.8 a chance of
-    1 % or so to share none. Texts without words are alike. Null ids come after others; rows
-    of equal ids are rows of their own; an empty table gives an empty table.
+    Two texts are linked where the SimHash of their sets of five-word shingles says that
+    the similarity is 0.8 or more, give or take the deviation of the estimate. The radius is
+    too wide for bits that must agree, so shards are sampled bits, in as many tables as
+    leave a pair at 0.8 a chance of 1 % or so to share none. With ``exact`` the fingerprints
+    only find candidates, and the sets themselves decide (``near_pairs``). Null ids come
+    after others; rows of equal ids are rows of their own; an empty table gives an empty table.
     """
     ship_package(docs.sparkSession)
     rid = free_name(docs, "__rid")
     # Written once: numbers made anew by a second scan could differ, as splits follow the number of executors.
     rows = materialize(docs.withColumn(rid, F.monotonically_increasing_id()))
-    of = connected_components(near_pairs(rows, rid, text_col)).withColumnRenamed("node", "id")
-    named = rows.select(F.col(rid).alias("id"), F.col(id_col).alias("name")).join(of, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    ids = rows.select(F.col(rid).alias("id"), F.col(id_col).alias("name"))
+    if exact:
+        of = connected_components(near_pairs(rows, rid, text_col)).withColumnRenamed("node", "id")
+        named = ids.join(of, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    else:
+        fps = materialize(fingerprints(rows, rid, text_col, NEAR_WORDS, NEAR_BITS, True))
+        of = materialize(near_classes(fps, NEAR_RADIUS, NEAR_BITS, near_bands(fps.count())))
+        named = fps.join(of, "fp").join(ids, "id")
     first = named.groupBy("component").agg(F.min(F.struct(F.col("name").isNull().alias("z"), "name", "id")).alias("first"))
     return rows.join(first.select(F.col("first.id").alias(rid)), rid, "left_semi").drop(rid)
 

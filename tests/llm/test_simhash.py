@@ -144,5 +144,6 @@ def test_near_copies_match_brute_force(spark, monkeypatch):
     assert all(len(sets[a] & sets[b]) * 5 >= len(sets[a] | sets[b]) * 4 for a, b in pairs)
     both = set(pairs) | {(b, a) for a, b in pairs}
     assert closure(range(len(texts)), lambda a, b: (a, b) in both) == want
-    assert sorted(r.doc_id for r in S.drop_near(df).collect()) == sorted(set(want.values()))
+    assert sorted(r.doc_id for r in S.drop_near(df, exact=True).collect()) == sorted(set(want.values()))
+    assert S.drop_near(df.limit(0), exact=True).count() == 0
     assert len(set(want.values())) < len(texts) - 20
