@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from rasterloom.functions import geo
 from rasterloom.operators import composites as C
+from rasterloom.operators import patches as B
 from rasterloom.operators import rasters as R
 from rasterloom.operators import spatial as P
 from rasterloom.plans import standins as T
@@ -117,6 +118,26 @@ def patch_cut(spark, d):
     return fine.join(c, ["event", "patch_number"], "left")
 
 
+#: Stacks over a small scene: pixels 1 and 8 wide, patches of 32 every 16.
+SMALL = {"fine": (1, [("a", 1, "cubic"), ("b", 1, "mask"), ("c", 1, "nearest")]), "coarse": (8, [("c", 1, "average"), ("none", 1, "cubic")]), "flood_mask": (1, [("b", 1, "mask")])}
+_PLACES = [("a", -3.25, 70.125, 2.0, 2.0), ("b", 0.5, 63.25, 1.0, 1.0), ("c", -1.75, 66.5, 1.625, 1.625)]
+
+
+def patch_stack(spark, d):
+    """Three layers of a scene, each on a grid of its own, stacked and cut in overlapping patches."""
+    x = T.raster(spark, d)
+    layers = F.explode(F.array(*map(F.lit, "abc")))
+    value = F.when(F.col("layer") == "b", F.when(F.col("value") > 50000, 1.0).otherwise(0.0)).otherwise(F.col("value").cast("double"))
+    pixels = x.withColumn("layer", layers).withColumn("band", F.lit(1)).withColumn("value", value)
+    scenes = x.select("event").distinct().select("event", F.lit(0.0).alias("minx"), F.lit(0.0).alias("miny"), F.lit(64.0).alias("maxx"), F.lit(64.0).alias("maxy"))
+    places = scenes.select("event", F.explode(F.array(*(F.struct(*(F.lit(v).alias(n) for v, n in zip(p, ("layer", "minx", "maxy", "res_x", "res_y")))) for p in _PLACES))).alias("p")).select("event", "p.*")
+    grid = B.grids(scenes, 1.0, SMALL)
+    cells = B.kept(B.cut_stacks(B.stacked(pixels, places, grid, SMALL), grid, "fine", 32, 16), "fine", 0.6)
+    there = F.when(F.col("value") != B.DEFAULTS.nodata, F.col("value"))
+    out = cells.groupBy("event", "patch_number", "file", "slot").agg(F.count("*").alias("n"), F.count(there).alias("valid"), F.round(F.avg(there), 3).alias("mean"), F.round(F.avg(there * (F.col("r") + 2 * F.col("c"))), 2).alias("placed"))
+    return out.join(B.patch_metadata(cells, "flood_mask", 32), ["event", "patch_number"])
+
+
 def valid_patches(spark, d):
     x = R.cut(T.raster(spark, d), 1, 8, 8, 64, 64).groupBy("event", "patch_number").agg(R.valid_ratio(F.col("value")).alias("v"))
     return x.where("v >= 0.9").select("event", "patch_number")
@@ -252,6 +273,29 @@ _WIDE = _stages([f"CAST(ts AS DATE) >= DATE '{T.EVENT_DAY}' - INTERVAL {n} DAY"
 _RELAX = _stages([f"cloud_pct < {n}" for n in (3, 6, 12, 40)], [3, 6, 12, 40], 95.0, f"SELECT * FROM aq WHERE {_BEFORE} AND ts >= DATE '{T.EVENT_DAY}' - INTERVAL 8 DAY")
 _OVER = "least((\"{c}\" + 1) / 6.4, t{c} + 1) - greatest(\"{c}\" / 6.4, t{c})"
 
+_CUBE = "CASE WHEN abs({d}) < 1 THEN 1.5::DOUBLE * abs({d}) * abs({d}) * abs({d}) - 2.5::DOUBLE * abs({d}) * abs({d}) + 1 WHEN abs({d}) < 2 THEN -0.5::DOUBLE * abs({d}) * abs({d}) * abs({d}) + 2.5::DOUBLE * abs({d}) * abs({d}) - 4 * abs({d}) + 2 ELSE 0 END"
+_PATCHES = f"""WITH {T.RS}, ev AS (SELECT DISTINCT event FROM rs), i AS (SELECT unnest(range(64)) AS i),
+ cells AS (SELECT event, a.i AS r, b.i AS c FROM ev, i AS a, i AS b),
+ ca AS (SELECT event, r, c, (70.125::DOUBLE - (64 - (r + 0.5::DOUBLE))) / 2 AS y, (c + 0.5::DOUBLE + 3.25::DOUBLE) / 2 AS x FROM cells),
+ taps AS (SELECT ca.*, CAST(floor(y - 0.5) AS INTEGER) + dr AS sr, CAST(floor(x - 0.5) AS INTEGER) + dc AS sc FROM ca, (SELECT unnest([-1, 0, 1, 2]) AS dr) AS p, (SELECT unnest([-1, 0, 1, 2]) AS dc) AS q),
+ w AS (SELECT taps.*, rs.value::DOUBLE AS v, ({_CUBE.format(d="(y - 0.5::DOUBLE - sr)")}) * ({_CUBE.format(d="(x - 0.5::DOUBLE - sc)")}) AS k FROM taps JOIN rs ON rs.event = taps.event AND rs."row" = sr AND rs.col = sc WHERE rs.value IS NOT NULL),
+ cubic AS (SELECT event, r, c, sum(k * v) / sum(k) AS v FROM w GROUP BY 1, 2, 3 HAVING bool_or(sr = floor(y) AND sc = floor(x)) AND abs(sum(k)) > 1e-12),
+ fine AS (SELECT cells.*, 'fine' AS file, 1 AS f, 1 AS slot, coalesce(v, 9999.0) AS v FROM cells LEFT JOIN cubic USING (event, r, c)),
+ wet AS (SELECT cells.*, CASE WHEN value > 50000 THEN 1.0 ELSE 0.0 END AS v FROM cells LEFT JOIN rs ON rs.event = cells.event AND rs."row" = floor(63.25::DOUBLE - (64 - (r + 0.5::DOUBLE))) AND rs.col = floor(c + 0.5::DOUBLE - 0.5::DOUBLE)),
+ near AS (SELECT cells.*, coalesce(value::DOUBLE, 9999.0) AS v FROM cells LEFT JOIN rs ON rs.event = cells.event AND rs."row" = floor((66.5::DOUBLE - (64 - (r + 0.5::DOUBLE))) / 1.625::DOUBLE) AND rs.col = floor((c + 0.5::DOUBLE + 1.75::DOUBLE) / 1.625::DOUBLE)),
+ j AS (SELECT unnest(range(8)) AS j), cc AS (SELECT event, a.j AS r, b.j AS c FROM ev, j AS a, j AS b),
+ lap AS (SELECT cc.*, rs.value::DOUBLE AS v, (least((-2.5::DOUBLE + (rs."row" + 1) * 1.625::DOUBLE) / 8, r + 1) - greatest((-2.5::DOUBLE + rs."row" * 1.625::DOUBLE) / 8, r)) AS kr,
+  (least((-1.75::DOUBLE + (rs.col + 1) * 1.625::DOUBLE) / 8, c + 1) - greatest((-1.75::DOUBLE + rs.col * 1.625::DOUBLE) / 8, c)) AS kc FROM cc JOIN rs USING (event) WHERE rs.value IS NOT NULL),
+ mean AS (SELECT event, r, c, sum(v * kr * kc) / sum(kr * kc) AS v FROM lap WHERE kr > 1e-9 AND kc > 1e-9 GROUP BY 1, 2, 3),
+ allc AS (SELECT event, r, c, file, f, slot, v FROM fine UNION ALL SELECT event, r, c, 'fine', 1, 2, v FROM wet UNION ALL SELECT event, r, c, 'fine', 1, 3, v FROM near
+  UNION ALL SELECT event, r, c, 'flood_mask', 1, 1, v FROM wet UNION ALL SELECT cc.event, cc.r, cc.c, 'coarse', 8, 1, coalesce(v, 9999.0) FROM cc LEFT JOIN mean USING (event, r, c) UNION ALL SELECT event, r, c, 'coarse', 8, 2, 9999.0 FROM cc),
+ o AS (SELECT unnest([0, 1, 2]) AS k), p AS (SELECT allc.*, a.k * 3 + b.k AS patch_number, a.k * 16 AS row0, b.k * 16 AS col0, r - a.k * 16 // f AS pr, c - b.k * 16 // f AS pc FROM allc, o AS a, o AS b
+  WHERE r >= a.k * 16 // f AND r < a.k * 16 // f + 32 // f AND c >= b.k * 16 // f AND c < b.k * 16 // f + 32 // f),
+ good AS (SELECT event, patch_number, sum(CASE WHEN file = 'flood_mask' AND v = 1 THEN 1 ELSE 0 END) AS flood_pixels, min(row0) AS row0, min(col0) AS col0 FROM p GROUP BY 1, 2 HAVING avg(CASE WHEN v = 9999.0 THEN 0.0 ELSE 1.0 END) FILTER (file = 'fine') >= 0.6)
+ SELECT event, CAST(patch_number AS INTEGER) AS patch_number, file, slot, count(*) AS n, count(v) FILTER (v <> 9999.0) AS valid, round(avg(v) FILTER (v <> 9999.0), 3) AS mean, round(avg(v * (pr + 2 * pc)) FILTER (v <> 9999.0), 2) AS placed,
+  CAST(good.col0 AS DOUBLE) AS bounds_minx, CAST(64 - good.row0 - 32 AS DOUBLE) AS bounds_miny, CAST(good.col0 + 32 AS DOUBLE) AS bounds_maxx, CAST(64 - good.row0 AS DOUBLE) AS bounds_maxy, CAST(flood_pixels AS BIGINT) AS flood_pixels
+ FROM p JOIN good USING (event, patch_number) GROUP BY ALL"""
+
 QUERIES = {
     "composite_median": (median, f"WITH {T.AQ} SELECT pixel, round(median(value), 6) AS value FROM aq WHERE mode = 'IW' AND dual GROUP BY 1"),
     "composite_widening": (widening, _WIDE + " FROM wd CROSS JOIN dc"),
@@ -272,6 +316,7 @@ QUERIES = {
  SELECT event, CAST(r * nc + c AS INTEGER) AS patch_number, CAST(r * 256 AS INTEGER) AS row0, CAST(c * 256 AS INTEGER) AS col0 FROM c"""),
     "patch_cut": (patch_cut, f"""WITH {T.RS}, f AS (SELECT event, CAST("row" // 8 * 8 + col // 8 AS INTEGER) AS patch_number, count(value) AS n, round(avg(CASE WHEN value IS NULL THEN 0.0 ELSE 1.0 END), 6) AS valid FROM rs GROUP BY 1, 2),
  c AS (SELECT event, CAST("row" // 2 * 8 + col // 2 AS INTEGER) AS patch_number, count(*) AS coarse FROM rs WHERE "row" < 16 AND col < 16 GROUP BY 1, 2) SELECT f.*, coarse FROM f LEFT JOIN c USING (event, patch_number)"""),
+    "patch_stack": (patch_stack, _PATCHES),
     "patch_valid_ratio": (valid_patches, f"""WITH {T.RS} SELECT event, CAST("row" // 8 * 8 + col // 8 AS INTEGER) AS patch_number FROM rs GROUP BY 1, 2 HAVING avg(CASE WHEN value IS NULL THEN 0.0 ELSE 1.0 END) >= 0.9"""),
     "patch_flood_pixels": (flood_pixels, f"WITH {T.EV}, {T.PT} SELECT folder_name, CAST(sum(flood_pixels) AS BIGINT) AS flood_pixels, round(max(flood_pixels / 65536), 6) AS most FROM pt GROUP BY 1"),
     "patch_qc": (quality, """WITH x AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 2 = 0 THEN 'input_160m' ELSE 'flood_mask' END AS file FROM customer), y AS (SELECT *, unnest(['missing', 'band_count', 'shape', 'nan_inf', 'mask_not_binary']) AS "check" FROM x)
