@@ -99,11 +99,11 @@ class Interner:
             self._place(keys, vals)
         self._place(h, np.arange(n, size, dtype=np.int32))
 
-    def numbers(self, raw: bytes, starts: np.ndarray, learn: Callable[[np.ndarray, np.ndarray], None] | None) -> np.ndarray:
+    def numbers(self, raw: bytes, starts: np.ndarray, learn: Callable[[tuple[np.ndarray, np.ndarray]], None] | None) -> np.ndarray:
         """The number of each segment of ``raw``; segments begin at ``starts`` (ascending, the first 0) and are not empty.
 
         New words are numbered in the order in which they come, and passed to ``learn``
-        as their bytes, packed, and their lengths. With None, new words get -1. A word
+        as a pair: their bytes, packed, and their lengths. With None, new words get -1. A word
         whose hash belongs to another word gets ``-2``.
         """
         data = np.frombuffer(raw, np.uint8)
@@ -130,7 +130,7 @@ class Interner:
             fresh = new[first[order]]
             packed, sizes = data[segment_places(starts[fresh], lens[fresh])], lens[fresh]
             self._add(packed, sizes, h[fresh])
-            learn(packed, sizes)
+            learn((packed, sizes))
         return out
 
 

@@ -70,7 +70,8 @@ class Model:
     def forget(self) -> None:
         self.words, self.sums, self.sizes = Interner(), np.zeros(1024), np.zeros(1024)
 
-    def learn(self, packed: np.ndarray, lens: np.ndarray) -> None:
+    def learn(self, new: tuple[np.ndarray, np.ndarray]) -> None:
+        packed, lens = new
         n, words = self.words.size - len(lens), split_words(packed, lens)
         while self.words.size > len(self.sums):
             self.sums, self.sizes = np.concatenate([self.sums, self.sums]), np.concatenate([self.sizes, self.sizes])

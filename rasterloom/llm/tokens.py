@@ -73,8 +73,9 @@ class Encoder:
     def whole(self, text: bytes) -> np.ndarray:
         return np.array(self.tok.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32)
 
-    def learn(self, packed: np.ndarray, lens: np.ndarray) -> None:
+    def learn(self, new: tuple[np.ndarray, np.ndarray]) -> None:
         """Encode new words: those of letters in one text, others one by one."""
+        packed, lens = new
         ends = np.cumsum(lens)
         plain = letters_only(packed, ends - lens)
         n, size = self.count, self.count + len(lens)
