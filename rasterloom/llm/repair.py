@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rasterloom.llm.common import documents, ship_package, text_of, work_dir
+from rasterloom.llm.interning import windows
 from rasterloom.llm.tokens import encoder, vocabulary
 
 END_ID = 2
@@ -52,94 +53,111 @@ def grammar(ids: np.ndarray, ends: np.ndarray, least: int = LEAST) -> tuple[np.n
     following[ends - 1] = following[n] = n
     before[ends[:-1]] = before[n] = n
     before[:1] = n
-    rank, now, seen = np.zeros(n + 1, np.int32), np.zeros(n + 1, np.int32), np.zeros(n + 1, bool)
-    seen[n] = True
-    bits, made = n.bit_length(), 0
-    rules = [(np.zeros(0, np.int32), np.zeros(0, np.int32))]
-    at = np.nonzero(following[:n] < n)[0]
-    # Places stay in ascending order, so that all but the sort by pairs runs along memory.
+    found, made = np.zeros(n + 1, bool), 0
+    rules, numbers = [(np.zeros(0, np.int32), np.zeros(0, np.int32))], np.arange(n)
+    at = np.flatnonzero(following[:n] < n)
+    after = following[at]
+    # Places stay in ascending order, so that all but the sort by pairs runs along memory, and
+    # what follows one of them in the text is next in the list or not in it: ``link`` tells which.
     while len(at):
-        base = first + made
-        key = sym[at].astype(np.int64) * base + sym[following[at]]
+        base, bits = first + made, len(at).bit_length()
+        link = np.append(after[:-1] == at[1:], False)
+        apart = np.flatnonzero(~link)
+        a = sym[at]
+        b = np.append(a[1:], np.int32(0))
+        b[apart] = sym[after[apart]]
+        own = np.flatnonzero(a == b)
+        twice = own.compress(overlaps(at[own], after[own]))
+        key = a.astype(np.int64)
+        key *= base
+        key += b
         if 2 * base.bit_length() + bits < 63:
-            key = (key << bits) | at
+            key <<= bits
+            key |= numbers[: len(at)]
             key.sort()
-            pos = key & ((1 << bits) - 1)
+            k = key & ((1 << bits) - 1)
             key >>= bits
         else:
-            order = np.lexsort((at, key))
-            key, pos = key[order], at[order]
-        begin = np.nonzero(np.concatenate(([True], key[1:] != key[:-1])))[0]
-        size = np.diff(begin, append=len(key))
-        often = size >= least
-        pos, pair, size = pos[np.repeat(often, size)], key[begin[often]], size[often]
-        left, right = np.divmod(pair, base)
-        group = np.repeat(np.arange(len(size), dtype=np.int32), size)
-        twice = overlaps(pos, (left == right)[group], following)
-        count = size - np.bincount(group[twice], minlength=len(size))
-        order = (count << 32) | np.arange(len(size))
+            k = np.argsort(key, kind="stable")
+            key = key[k]
+        begin = np.append(0, np.flatnonzero(key[1:] != key[:-1]) + 1)
+        pair, size = key[begin], np.diff(begin, append=len(key))
+        often = np.flatnonzero(size >= least)
+        count = (size - np.bincount(np.searchsorted(pair, a[twice] * np.int64(base + 1)), minlength=len(size)))[often]
+        left, right = np.divmod(pair[often], base)
+        order = (count << 32) | np.arange(len(often))
         order.sort()
         order &= 0xFFFFFFFF
         standing = np.zeros(len(size), np.int32)
-        standing[order] = np.arange(1, len(size) + 1, dtype=np.int32)
-        standing[count < least] = 0
-        rank[pos] = standing[group]
-        rank[pos[twice]] *= -1
-        # From here on pairs go by their standing; it is negative where a pair overlaps itself.
-        r = rank[at]
-        live = r != 0
-        rank[at[~live]] = 0
-        at, r = at[live], r[live]
-        heads = at[r > np.maximum(np.maximum(rank[before[at]], rank[following[at]]), 0)]
-        used = np.bincount(rank[heads], minlength=len(size) + 1) >= least
-        heads = heads[used[rank[heads]]]
-        taken, todo, same = [heads], at[used[np.abs(r)]], np.append(False, (left == right)[order])
+        standing[often[order]] = np.arange(1, len(often) + 1, dtype=np.int32)
+        standing[often[count < least]] = 0
+        # From here on pairs go by their standing, 0 for a rare one; a place where a pair overlaps itself begins no round.
+        r = np.empty(len(at), np.int32)
+        r[k] = np.repeat(standing, size)
+        late = r[twice]
+        r[twice] = 0
+        heads = peaks(r, link[:-1])
+        used = np.bincount(r[heads], minlength=len(often) + 1) >= least
+        heads = heads.compress(used[r[heads]])
+        r[twice] = late
+        same, taken, seen = np.append(False, (left == right)[order]), np.zeros(len(at), bool), np.zeros(len(at) + 1, bool)
+        taken[heads] = seen[heads] = True
+        seen[heads.compress(link[heads]) + 1] = True
+        todo = np.flatnonzero(used.take(r) & ~(seen[:-1] | (link & seen[1:])))
         while len(heads):
-            seen[heads] = seen[following[heads]] = True
-            todo = todo[~(seen[todo] | seen[following[todo]])]
-            r = np.abs(rank[todo])
-            r[overlaps(todo, same[r], following)] = 0
-            now[todo] = r
-            heads = todo[r > np.maximum(now[before[todo]], now[following[todo]])]
-            now[todo] = 0
-            taken.append(heads)
-        heads = np.concatenate(taken)
-        if not len(heads):
+            now = r[todo]
+            own = np.flatnonzero(same[now])
+            now[own.compress(overlaps(at[todo[own]], after[todo[own]]))] = 0
+            heads = todo[peaks(now, link[todo[:-1]] & (todo[1:] == todo[:-1] + 1))]
+            taken[heads] = seen[heads] = True
+            seen[heads.compress(link[heads]) + 1] = True
+            todo = todo.compress(~(seen[todo] | (link[todo] & seen[todo + 1])))
+        named = np.flatnonzero(taken)
+        if not len(named):
             break
-        heads.sort()
-        gone = following[heads]
-        sym[heads] = (np.cumsum(used) + (base - 1)).astype(np.int32)[np.abs(rank[heads])]
-        rank[at] = 0
-        following[heads] = following[gone]
-        before[following[gone]] = heads
+        heads, gone = at[named], after[named]
+        sym[heads] = (np.cumsum(used) + (base - 1)).astype(np.int32)[r[named]]
+        ahead = following[gone]
+        following[heads] = ahead
+        before[ahead] = heads
         before[n] = following[gone] = n
         sym[gone] = -1
         chosen = order[used[1:]]
         rules.append((left[chosen].astype(np.int32), right[chosen].astype(np.int32)))
         made += len(chosen)
-        rest, near = at[~seen[at]], before[heads]
-        seen[rest] = True
-        near = near[~seen[near]]
-        seen[rest] = seen[heads] = seen[gone] = False
-        at = np.concatenate((rest, heads, near))
-        at = at[following[at] < n]
-        at.sort()
+        # What is left of the frequent pairs, and the pairs around new symbols.
+        parts = at.compress((r != 0) & ~seen[:-1]), heads.compress(ahead < n), before[heads]
+        if 256 * len(at) > n:
+            for x in parts:
+                found[x] = True
+            found[n] = False
+            at = np.flatnonzero(found)
+            found[at] = False
+        else:
+            at = np.unique(np.concatenate(parts))
+            at = at[: np.searchsorted(at, n)]
+        after = following[at]
     lens, k = np.ones(made, np.int64), 0
     for pair in rules:
         lens[k : k + len(pair[0])] = sum(np.where(x < first, 1, lens[np.maximum(x - first, 0)]) for x in pair)
         k += len(pair[0])
-    keep = np.nonzero(sym[:n] >= 0)[0]
+    keep = np.flatnonzero(sym[:n] >= 0)
     return sym[keep], np.searchsorted(keep, ends), *map(np.concatenate, zip(*rules)), lens
 
 
-def overlaps(pos: np.ndarray, own: np.ndarray, following: np.ndarray) -> np.ndarray:
-    """Which places to leave out because their pair overlaps itself: every other one of a run. ``own`` marks pairs of equal symbols; the places of one run ascend without others between."""
-    at = np.nonzero(own)[0]
-    if not len(at):
-        return at
-    p, k = pos[at], np.arange(len(at))
-    starts = np.concatenate(([True], following[p[:-1]] != p[1:]))
-    return at[(k - np.maximum.accumulate(np.where(starts, k, 0))) % 2 == 1]
+def peaks(r: np.ndarray, link: np.ndarray) -> np.ndarray:
+    """Where numbers are positive and larger than those beside them; ``link`` tells which stand beside the next one."""
+    high, apart = r > 0, ~link
+    high[1:] &= (r[1:] > r[:-1]) | apart
+    high[:-1] &= (r[:-1] > r[1:]) | apart
+    return np.flatnonzero(high)
+
+
+def overlaps(pos: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Which pairs of equal symbols, in ascending order, to leave out because their pair overlaps itself: every other one of a run. ``after`` are the places of their second symbols."""
+    k = np.arange(len(pos))
+    starts = np.append(True, after[:-1] != pos[1:])[: len(pos)]
+    return (k - np.maximum.accumulate(np.where(starts, k, 0))) % 2 == 1
 
 
 def pack_bits(values: np.ndarray, bits: int) -> bytes:
@@ -147,21 +165,22 @@ def pack_bits(values: np.ndarray, bits: int) -> bytes:
     v = np.zeros(-(-len(values) // 8) * 8, np.uint64)
     v[: len(values)] = values
     v = v.reshape(-1, 8)
-    out = np.zeros((len(v), bits + 8), np.uint8)
+    out = np.zeros((len(v) + 1, bits + 8), np.uint8)
     for j in range(8):
-        shifted = v[:, j] << np.uint64(j * bits % 8)
-        for k in range((bits + 14) // 8):
-            out[:, j * bits // 8 + k] |= (shifted >> np.uint64(8 * k)).astype(np.uint8)
-    return out[:, :bits].tobytes()
+        eight = np.ndarray(len(v), "<u8", out, j * bits // 8, (bits + 8,))
+        eight |= v[:, j] << np.uint64(j * bits % 8)
+    return out[:-1, :bits].tobytes()
 
 
 def unpack_bits(raw: np.ndarray, bits: int, begin: int, end: int) -> np.ndarray:
     """Numbers ``begin:end`` of what ``pack_bits`` gave; no other bytes are read."""
     at = np.arange(begin, end, dtype=np.int64) * bits
-    byte, out = at >> 3, np.zeros(end - begin, np.int64)
-    for k in range((bits + 14) // 8):
-        out |= raw[np.minimum(byte + k, len(raw) - 1)].astype(np.int64) << (8 * k)
-    return (out >> (at & 7)) & ((1 << bits) - 1)
+    at -= begin * bits >> 3 << 3
+    out = windows(np.append(raw[begin * bits >> 3 : (end * bits + 7) >> 3], np.zeros(8, np.uint8)))[at >> 3].view(np.int64)
+    at &= 7
+    out >>= at
+    out &= (1 << bits) - 1
+    return out
 
 
 def pack_shard(doc_ids: list[int | None], docs: list[np.ndarray], least: int = LEAST) -> bytes:
@@ -213,10 +232,13 @@ class Shard:
         out = np.empty(int(lens.sum()), np.uint32)
         while len(symbols):
             leaf = symbols < self.first
-            out[at[leaf]] = symbols[leaf]
-            rule, at = symbols[~leaf] - self.first, at[~leaf]
-            left = self.left[rule]
-            symbols, at = np.concatenate([left, self.right[rule]]), np.concatenate([at, at + self.lens[left]])
+            done, todo = np.flatnonzero(leaf), np.flatnonzero(~leaf)
+            out[at[done]] = symbols[done]
+            rule, at = symbols[todo] - self.first, at[todo]
+            left, places, symbols = self.left[rule], np.repeat(at, 2), np.empty(2 * len(rule), np.int64)
+            symbols[::2], symbols[1::2] = left, self.right[rule]
+            places[1::2] += self.lens[left]
+            at = places
         return out
 
     def document(self, k: int) -> np.ndarray:
@@ -233,8 +255,17 @@ class Shard:
 
     def documents(self) -> Iterator[tuple[int | None, np.ndarray]]:
         symbols = self.symbols()
-        ids = self.expand(symbols)
-        lens = np.cumsum(self.lens[symbols])
+        sizes = self.lens[symbols]
+        lens = np.cumsum(sizes)
+        total = int(lens[-1]) if len(lens) else 0
+        if self.rule_lens.sum() <= total:
+            # Each rule is expanded once, and copied to wherever it stands.
+            once = np.concatenate([np.arange(self.first, dtype=np.uint32), self.expand(np.arange(self.first, len(self.lens)))])
+            at = np.repeat((np.cumsum(self.lens) - self.lens)[symbols] - (lens - sizes), sizes)
+            at += np.arange(total)
+            ids = once[at]
+        else:
+            ids = self.expand(symbols)
         begin = 0
         for i, e in zip(self.doc_ids, self.ends.tolist()):
             end = int(lens[e - 1])

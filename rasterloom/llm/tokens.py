@@ -38,6 +38,7 @@ CLASS = np.zeros(256, np.uint8)
 CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
 CLASS[list(b",.!?*%$#&;:")] = 2
 CLASS[list(b" \t\n\r\x0b\x0c")] = 4
+_CLASSES, _HINTS = CLASS.tobytes(), HINT.tobytes()
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _ENCODERS: dict[tuple, Encoder] = {}
 
@@ -50,18 +51,15 @@ class Encoder:
     """
 
     def __init__(self, vocabulary: str, kind: str, kept: int | None = None) -> None:
-        from tokenizers import Regex, Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer
 
-        self.tok, self.letters = Tokenizer.from_str(vocabulary), Tokenizer.from_str(vocabulary)
+        self.tok = Tokenizer.from_str(vocabulary)
         self.tok.encode_special_tokens = True
-        # The same merges over words that are split already; "!" stands between them, which no word of letters holds.
+        # The same merges for words that are split and normalised already, without the steps around them.
         self.lower = {"byte_level": False, "words": True}[kind]
-        self.letters.pre_tokenizer = pre_tokenizers.Split(Regex("!"), "isolated")
-        if self.lower:
-            self.letters.normalizer = normalizers.Sequence([])
-        if hasattr(self.letters.model, "_resize_cache"):
-            self.letters.model._resize_cache(0)  # only new words come here
-        self.mark = self.letters.encode("!", add_special_tokens=False).ids[0]
+        self.letters = Tokenizer.from_str(vocabulary).model
+        if hasattr(self.letters, "_resize_cache"):
+            self.letters._resize_cache(0)  # only new words come here
         self.words, self.kept = Interner(), kept or KEPT_WORDS
         self.reset()
 
@@ -74,7 +72,7 @@ class Encoder:
         return np.array(self.tok.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32)
 
     def learn(self, new: tuple[np.ndarray, np.ndarray]) -> None:
-        """Encode new words: those of letters in one text, others one by one."""
+        """Encode new words: those of letters by the model alone, others by the whole tokenizer."""
         packed, lens = new
         ends = np.cumsum(lens)
         plain = letters_only(packed, ends - lens)
@@ -92,14 +90,13 @@ class Encoder:
             of = packed[segment_places((ends - lens)[even], lens[even])]
             if self.lower:
                 word, of = word[of != 32], of[of != 32]
+            # "!" stands between the words, which no word of letters holds.
             marked = np.full(len(of) + len(even), 33, np.uint8)
             marked[np.arange(len(of)) + word] = of
             if self.lower:
                 marked = np.frombuffer(marked.tobytes().decode().lower().encode(), np.uint8)
-            text = SHOWN[marked].tobytes().decode("utf-32-le")
-            got = np.array(self.letters.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
-            marks = np.nonzero(got == self.mark)[0]
-            self._keep(n + even, got[got != self.mark], np.diff(marks, prepend=-1) - 1)
+            got = list(map(self.letters.tokenize, SHOWN[marked].tobytes().decode("utf-32-le").split("!")[:-1]))
+            self._keep(n + even, np.array([t.id for word in got for t in word], np.uint32), np.array(list(map(len, got)), np.int64))
         self.count = size
 
     def _keep(self, numbers: np.ndarray, ids: np.ndarray, lens: np.ndarray) -> None:
@@ -117,7 +114,7 @@ class Encoder:
         if self.lower and b"\xcc" not in raw and b"\xcd" not in raw:
             raw = raw.translate(_LOWER)
         data, sizes = np.frombuffer(raw, np.uint8), np.fromiter(map(len, texts), np.int64, len(texts))
-        kind = CLASS[data]
+        kind = np.frombuffer(raw.translate(_CLASSES), np.uint8)
         begins = kind == 4
         begins[1:] |= (data[:-1] == 10) | ((kind[:-1] == 1) & (kind[1:] == 2))
         text_ends = np.cumsum(sizes)
@@ -135,7 +132,8 @@ class Encoder:
         ends = np.cumsum(lens)
         ids = self.flat[np.repeat(self.starts[at] - (ends - lens), lens) + np.arange(ends[-1])]
         cuts = ends[np.searchsorted(starts, text_ends) - 1]
-        return np.split(ids, cuts[:-1])
+        bounds = [0, *cuts.tolist()]
+        return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
 
     def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
         """The ids of each text; null counts as empty."""
@@ -166,7 +164,7 @@ class Encoder:
 def maybe_wide(raw: bytes) -> bool:
     """False only where ``WIDE_SPACE`` matches nowhere."""
     data = np.frombuffer(raw, np.uint8)
-    hint = HINT[data]
+    hint = np.frombuffer(raw.translate(_HINTS), np.uint8)
     if (hint == 1).any() or ((hint[1:] == 2) & (hint[:-1] == 2)).any():
         return True
     lead = np.nonzero(hint == 4)[0]

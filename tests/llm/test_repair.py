@@ -109,6 +109,64 @@ def test_packed_bits(bits):
     assert len(raw) == 126 * bits
 
 
+def test_grammars_are_the_ones_of_before():
+    rng = np.random.default_rng(3)
+    docs = [np.append(rng.integers(0, 9 ** rng.integers(1, 5), rng.integers(0, 500)), 2).astype(np.uint32) for _ in range(60)]
+    docs += [np.full(777, 1, np.uint32), np.tile([1, 2, 1, 1], 99).astype(np.uint32)]
+    payloads = [R.pack_shard(list(range(len(docs))), docs, least) for least in (2, 3)]
+    assert [(len(p), zlib.crc32(p)) for p in payloads] == [(23904, 865010675), (23089, 1060351945)]
+
+
+def test_whole_shards_of_short_and_of_long_rules():
+    """Rules that are longer in all than the text are not expanded by themselves."""
+    longer = []
+    for docs in ([np.full(5000, 1)], [np.full(5001, 1), np.array([2])], [np.tile(np.arange(100), 9)], [np.arange(100)], []):
+        s = R.Shard(R.pack_shard(list(range(len(docs))), [d.astype(np.uint32) for d in docs]))
+        longer.append(bool(s.rule_lens.sum() > sum(map(len, docs))))
+        assert [x.tolist() for _, x in s.documents()] == [d.tolist() for d in docs]
+    assert set(longer) == {False, True}
+
+
+def test_words_are_not_taken_byte_by_byte(monkeypatch):
+    """Nor do words of letters go through the tokenizer's steps before the merges; both took most of the time of op1."""
+    from rasterloom.llm import interning
+
+    enc, t = K.Encoder(K.vocabulary("byte_bpe_50k.json"), "byte_level"), tok("byte_bpe_50k.json")
+    texts = [f"some {'words' * i} of letters {'no' * i} {'x' * (64 - i)}" for i in range(1, 12)]
+    want = [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+    def never(*a, **k):
+        raise AssertionError
+
+    monkeypatch.setattr(interning, "equal_segments", never)
+    monkeypatch.setattr(enc, "tok", None)
+    monkeypatch.setattr(interning.Interner, "_grow_powers", never)
+    for _ in range(2):
+        assert [x.tolist() for x in enc.encode([x.encode() for x in texts])] == want
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_words_that_differ_in_one_byte(monkeypatch, clash):
+    from rasterloom.llm.interning import Interner
+
+    if clash:  # all words of a length share a hash, so that only the comparison tells them apart
+        monkeypatch.setattr(Interner, "_hash", lambda self, data, begins, lens: lens.astype(np.uint64) + np.uint64(1))
+    words = []
+    for n in (1, 7, 8, 9, 16, 63, 64, 65, 72, 200):
+        words.append(bytes([97]) * n)
+        words += [words[-1][:k] + b"b" + words[-1][k + 1 :] for k in sorted({0, n // 2, n - 1})] if n > 1 else []
+    words = list(dict.fromkeys(words))
+    starts = np.cumsum([0, *map(len, words[:-1])])
+    table = Interner()
+    got = table.numbers(b"".join(words), starts, lambda new: None).tolist()
+    assert table.numbers(b"".join(words), starts, None).tolist() == got
+    if clash:
+        firsts = {len(w): w for w in reversed(words)}
+        assert [k >= 0 for k in got] == [firsts[len(w)] == w for w in words] and min(got) == -2
+    else:
+        assert got == list(range(len(words)))
+
+
 def test_invalid_utf8():
     enc, t = K.Encoder(K.vocabulary("byte_bpe_50k.json"), "byte_level"), tok("byte_bpe_50k.json")
     for raw in (b"ab\xff cd \xc3", b"\xc3\xc3\xa9 word\xe2\x82", b" \xc4", b"\xc5x"):
